@@ -23,8 +23,13 @@ from saleswh.plans.star import Star
 from saleswh.plans.views import sales_base
 from saleswh.session import shared_dir
 
-UNITS = F.sum("quantity").alias("units")
-REVENUE = F.sum("line_amount_usd").alias("revenue")
+
+def _units() -> Column:
+    return F.sum("quantity").alias("units")
+
+
+def _revenue() -> Column:
+    return F.sum("line_amount_usd").alias("revenue")
 
 
 def _largest(measure: str, *tie_break: str) -> list[Column]:
@@ -39,7 +44,7 @@ def _product_totals(sales: DataFrame, star: Star) -> DataFrame:
     attributes = star.dim_product.select(
         "product_id", F.col("category").alias("product_category"), F.col("name").alias("product_name")
     )
-    return sales.groupBy("product_id").agg(UNITS, REVENUE).join(attributes, "product_id")
+    return sales.groupBy("product_id").agg(_units(), _revenue()).join(attributes, "product_id")
 
 
 def _iso_product_totals(star: Star, start: str, end: str) -> DataFrame:
@@ -97,7 +102,7 @@ def top_products_all_currencies(star: Star, limit: int = 10) -> DataFrame:
 
 def _hour_totals(star: Star, start: str, end: str) -> DataFrame:
     by_hour = star.sales(start, end).groupBy(keys.hour_of_day().alias("hour_of_day"))
-    return by_hour.agg(REVENUE, UNITS)
+    return by_hour.agg(_revenue(), _units())
 
 
 def best_hours(star: Star, start: str, end: str) -> DataFrame:
@@ -109,7 +114,7 @@ def revenue_by_hour(star: Star, start: str, end: str) -> DataFrame:
 
 
 def _day_totals(star: Star, start: str, end: str) -> DataFrame:
-    days = star.sales(start, end).groupBy("date_key").agg(REVENUE)
+    days = star.sales(start, end).groupBy("date_key").agg(_revenue())
     return days.select(keys.key_to_date().alias("sales_date"), "revenue")
 
 
@@ -137,7 +142,7 @@ def _weekday_hours(star: Star, start: str, end: str) -> DataFrame:
     hours = star.sales(start, end).groupBy("date_key", keys.hour_of_day().alias("hour_of_day"))
     weekday = keys.weekday_iso(keys.key_to_date())
     return (
-        hours.agg(REVENUE)
+        hours.agg(_revenue())
         .groupBy(weekday.alias("weekday_iso"), "hour_of_day")
         .agg(F.sum("revenue").alias("revenue"))
     )
@@ -161,7 +166,7 @@ def weekday_hour_matrix(star: Star, start: str, end: str) -> DataFrame:
 def _month_categories(star: Star, start: str, end: str) -> DataFrame:
     """Summed per month and product first, as the categories are the product's."""
     sales = keys.in_window(star.fact, start, end).filter(is_iso(F.col("currency")))
-    per_product = sales.groupBy(keys.month_of_key().alias("month_key"), "product_id").agg(REVENUE)
+    per_product = sales.groupBy(keys.month_of_key().alias("month_key"), "product_id").agg(_revenue())
     categories = star.dim_product.select("product_id", F.col("category").alias("product_category"))
     return (
         per_product.join(categories, "product_id")
@@ -208,7 +213,7 @@ def monthly_top_rows(star: Star, start: str, end: str, top: int = 5) -> DataFram
 
 def top_customers(star: Star, start: str, end: str, limit: int = 10) -> DataFrame:
     """Customers by revenue. Countries are grouped as stored and labelled after."""
-    per_order = star.sales(start, end).groupBy("customer_id", "order_id").agg(REVENUE)
+    per_order = star.sales(start, end).groupBy("customer_id", "order_id").agg(_revenue())
     people = star.dim_customer.select(
         "customer_id",
         labels.or_unknown(F.col("full_name")).alias("customer_name"),
@@ -233,7 +238,7 @@ def top_customer_labels(star: Star, start: str, end: str, limit: int = 10) -> Da
 
 
 def revenue_by_country(star: Star, start: str, end: str) -> DataFrame:
-    per_customer = star.sales(start, end).groupBy("customer_id").agg(REVENUE)
+    per_customer = star.sales(start, end).groupBy("customer_id").agg(_revenue())
     countries = star.dim_customer.select("customer_id", F.col("country").alias("raw_country"))
     totals = (
         per_customer.join(countries, "customer_id", "left")
@@ -247,7 +252,7 @@ def revenue_by_country(star: Star, start: str, end: str) -> DataFrame:
 
 def avg_order_value_by_country(star: Star, start: str, end: str) -> DataFrame:
     """Mean order total per country label."""
-    per_order = star.sales(start, end).groupBy("customer_id", "order_id").agg(REVENUE)
+    per_order = star.sales(start, end).groupBy("customer_id", "order_id").agg(_revenue())
     countries = star.dim_customer.select("customer_id", F.col("country").alias("raw_country"))
     orders = (
         per_order.join(countries, "customer_id", "left")

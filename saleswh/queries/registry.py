@@ -36,6 +36,7 @@ FILTERED_CATEGORIES = ["Brand#1", "Brand#2", "Brand#3"]
 
 
 _warehouses: dict[tuple[str, str, str], tuple[Warehouse, Star]] = {}
+_readers: dict[tuple[str, str, str], Sources] = {}
 _loading = Lock()
 
 
@@ -50,6 +51,15 @@ def _loaded(spark: SparkSession, folder: str, kind: str) -> tuple[Warehouse, Sta
         return _warehouses[key]
 
 
+def _sources(spark: SparkSession, folder: str, kind: str) -> Sources:
+    """The source readers, so that a session looks up each file's schema once."""
+    key = (spark.sparkContext.applicationId, folder, kind)
+    if key not in _readers:
+        read = retail.retail_sources if kind == "retail" else retail.event_sources
+        _readers[key] = read(spark, folder)
+    return _readers[key]
+
+
 def retail_star(spark: SparkSession, folder: str) -> Star:
     return _loaded(spark, folder, "retail")[1]
 
@@ -61,7 +71,7 @@ def event_star(spark: SparkSession, folder: str) -> Star:
 def load_retail(spark: SparkSession, folder: str, root: str) -> Warehouse:
     warehouse = Warehouse(spark, root)
     warehouse.run(
-        retail.retail_sources(spark, folder),
+        _sources(spark, folder, "retail"),
         as_of=RETAIL_AS_OF,
         years_back=RETAIL_YEARS_BACK,
         first_day=retail.RETAIL_FIRST_FX_DAY,
@@ -73,7 +83,7 @@ def load_retail(spark: SparkSession, folder: str, root: str) -> Warehouse:
 def load_events(spark: SparkSession, folder: str, root: str) -> Warehouse:
     warehouse = Warehouse(spark, root)
     warehouse.run(
-        retail.event_sources(spark, folder),
+        _sources(spark, folder, "events"),
         as_of=EVENTS_AS_OF,
         first_day=retail.EVENTS_FIRST_FX_DAY,
         loaded_at=FIRST_LOAD,
@@ -114,11 +124,11 @@ def _on_event_star(metric: Callable[[Star], DataFrame]) -> Query:
 
 
 def _on_sources(build: Callable[[SparkSession, Sources], DataFrame]) -> Query:
-    return lambda spark, folder: _plain(build(spark, retail.retail_sources(spark, folder)))
+    return lambda spark, folder: _plain(build(spark, _sources(spark, folder, "retail")))
 
 
 def _on_event_sources(build: Callable[[SparkSession, Sources], DataFrame]) -> Query:
-    return lambda spark, folder: _plain(build(spark, retail.event_sources(spark, folder)))
+    return lambda spark, folder: _plain(build(spark, _sources(spark, folder, "events")))
 
 
 # Reports written in SQL on the registered views
@@ -286,7 +296,7 @@ def _source_counts(spark: SparkSession, sources: Sources) -> DataFrame:
 
 def _top_customers_named(spark: SparkSession, folder: str) -> DataFrame:
     star = retail_star(spark, folder)
-    people = _dim_customer_named(spark, retail.retail_sources(spark, folder))
+    people = _dim_customer_named(spark, _sources(spark, folder, "retail"))
     named = Star(star.fact, star.dim_product, people, star.dim_date, star.dim_time, star.dim_fx_rate)
     return _plain(metrics.top_customers(named, *retail.RETAIL_WINDOW))
 
