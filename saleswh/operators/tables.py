@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from saleswh.operators import files
+
 
 class VersionedTable:
     def __init__(
@@ -26,18 +28,14 @@ class VersionedTable:
         self.partition = partition
 
     def create_if_absent(self) -> VersionedTable:
-        if not self._exists(self._pointer):
+        if not files.exists(self.spark, self._pointer):
             self._point_to([])
         return self
 
     def folders(self) -> list[str]:
-        if not self._exists(self._pointer):
+        if not files.exists(self.spark, self._pointer):
             return []
-        stream = self._fs().open(self._hadoop_path(self._pointer))
-        try:
-            return json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return json.loads(files.read_text(self.spark, self._pointer))
 
     def read(self) -> DataFrame:
         folders = self.folders()
@@ -73,43 +71,34 @@ class VersionedTable:
             return [version]
         return [
             f"{version}/{name}"
-            for name in self._children(f"{self.path}/{version}")
+            for name in files.children(self.spark, f"{self.path}/{version}")
             if name.startswith(f"{self.partition}=")
         ]
 
     def _next_version(self) -> int:
-        used = [
-            int(name.split("=")[1]) for name in self._children(self.path) if name.startswith("version=")
-        ]
-        return max(used, default=0) + 1
-
-    # Folder listing and the atomic rename go through Spark's own file-system layer.
-
-    def _hadoop_path(self, path: str):
-        return self.spark._jvm.org.apache.hadoop.fs.Path(path)
-
-    def _fs(self):
-        conf = self.spark._jsparkSession.sessionState().newHadoopConf()
-        return self._hadoop_path(self.path).getFileSystem(conf)
-
-    def _exists(self, path: str) -> bool:
-        return self._fs().exists(self._hadoop_path(path))
-
-    def _children(self, path: str) -> list[str]:
-        if not self._exists(path):
-            return []
-        return sorted(status.getPath().getName() for status in self._fs().listStatus(self._hadoop_path(path)))
+        return max((int(name.split("=")[1]) for name in self._versions()), default=0) + 1
+
+    def remove_old_versions(self) -> None:
+        """Deletes every folder the table no longer consists of.
+
+        Not for use while someone still reads an earlier state of the table.
+        """
+        current = set(self.folders())
+        for version in self._versions():
+            path = f"{self.path}/{version}"
+            if self.partition is None:
+                if version not in current:
+                    files.delete(self.spark, path)
+                continue
+            for name in files.children(self.spark, path):
+                if name.startswith(f"{self.partition}=") and f"{version}/{name}" not in current:
+                    files.delete(self.spark, f"{path}/{name}")
+
+    def _versions(self) -> list[str]:
+        return [name for name in files.children(self.spark, self.path) if name.startswith("version=")]
 
     def _point_to(self, folders: list[str]) -> None:
-        jvm, fs = self.spark._jvm, self._fs()
-        draft = self._hadoop_path(f"{self._pointer}.next")
-        stream = fs.create(draft, True)
-        stream.write(bytearray(json.dumps(sorted(folders)), "utf-8"))
-        stream.close()
-        context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(draft.toUri(), fs.getConf())
-        options = self.spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-        options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-        context.rename(draft, self._hadoop_path(self._pointer), options)
+        files.replace_text(self.spark, self._pointer, json.dumps(sorted(folders)))
 
 
 def _no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
+from saleswh.operators import files
 from saleswh.plans import metrics
 from saleswh.plans.star import Star
 
@@ -42,14 +43,8 @@ def export_reports(star: Star, path: str, start: str, end: str) -> list[str]:
     for report in reports(star, start, end):
         target = f"{path.rstrip('/')}/{report.name}"
         if not report.write_empty and report.data.isEmpty():
-            _remove(report.data, target)
+            files.delete(star.fact.sparkSession, target)
             continue
         report.data.write.mode("overwrite").option("header", True).csv(target)
         written.append(report.name)
     return written
-
-
-def _remove(df: DataFrame, path: str) -> None:
-    spark = df.sparkSession
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)

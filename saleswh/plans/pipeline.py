@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
@@ -13,10 +12,10 @@ from pyspark.sql.utils import AnalysisException
 from py4j.protocol import Py4JJavaError
 
 from saleswh import schema
+from saleswh.operators import files
 from saleswh.operators.tables import VersionedTable
 from saleswh.plans import dims, fact, fx, quality, views
 from saleswh.plans.star import Star
-from saleswh.session import shared_dir
 from saleswh.sources import conform, generators
 from saleswh.sources.bundle import Sources
 
@@ -98,11 +97,12 @@ class Warehouse:
             conform.orders(sources.orders),
             self.dim_fx_rate.read(),
         )
-        staged_path = f"{shared_dir(self.spark)}/saleswh-staged-{uuid.uuid4().hex}"
-        rows.write.parquet(staged_path)
-        staged = self.spark.read.schema(rows.schema).parquet(staged_path)
-        quality.assert_loadable(staged, self.dim_date.read(), self.dim_time.read())
-        fact.upsert_fact(self.fact, staged, loaded_at)
+        staged, staged_path = files.write_once(rows, "staged")
+        try:
+            quality.assert_loadable(staged, self.dim_date.read(), self.dim_time.read())
+            fact.upsert_fact(self.fact, staged, loaded_at)
+        finally:
+            files.delete(self.spark, staged_path)
         return self.refresh_hourly_sales()
 
     def refresh_hourly_sales(self) -> str:

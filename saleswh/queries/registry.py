@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from saleswh.operators.files import write_once
 from saleswh.operators.merge import insert_if_absent, merge_rows
 from saleswh.plans import dims, fact, fx, metrics, quality, sql, views
 from saleswh.plans.pipeline import Warehouse
@@ -275,7 +276,7 @@ def _dq_checks(star: Star) -> DataFrame:
 
 def _dq_checks_raw(spark: SparkSession, sources: Sources) -> DataFrame:
     """The checks on facts with copies and a calendar that is too short for them."""
-    rows = _raw_fact(sources)
+    rows, _ = write_once(_raw_fact(sources), "raw-facts")
     days = generators.calendar(spark, F.lit(RETAIL_AS_OF))
     clean = views.clean_sales(rows, dims.product_rows(sources.products))
     return quality.dq_checks(rows, days, generators.minutes(spark), clean, non_iso_max_share=0.1)
