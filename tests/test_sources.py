@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from saleswh.plans import fx
 from saleswh.sources import conform, generators, retail
 from saleswh.sources.fx_snapshot import quotes, read_snapshot
+from tests import builders as b
 from tests.conftest import rows
 
 
@@ -91,10 +92,7 @@ def test_first_rate_day(spark):
 
 
 def test_codes_that_differ_in_case_do_not_double_a_rate(spark):
-    rates = spark.sql(
-        "SELECT DATE '2024-01-01' AS fx_date, inline(array(struct('eur' AS currency, 2.0 AS rate_to_usd), "
-        "struct('EUR', 1.5)))"
-    )
+    rates = b.rates(spark, ("2024-01-01", "eur", "2"), ("2024-01-01", "EUR", "1.5"))
     assert [(r[0], r[1], float(r[2])) for r in rows(conform.fact_fx_rates(rates))] == [(20240101, "EUR", 1.5)]
 
 
