@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def or_unknown(text: Column) -> Column:
     """The text without outer blanks, or 'Unknown' where nothing is left."""
-    return F.coalesce(F.nullif(F.trim(text), F.lit("")), F.lit("Unknown"))
+    return F.when(F.trim(text) != "", F.trim(text)).otherwise("Unknown")
 
 
 def strip(text: Column) -> Column:
