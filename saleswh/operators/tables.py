@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,23 +19,36 @@ from saleswh.operators import files
 
 
 class VersionedTable:
+    """``partition`` names the storage partition, ``surrogate`` a running number.
+
+    The pointer file also holds the highest running number handed out so far,
+    so that a load need not look for it in the whole table.
+    """
+
     def __init__(
-        self, spark: SparkSession, path: str, schema: T.StructType, partition: str | None = None
+        self,
+        spark: SparkSession,
+        path: str,
+        schema: T.StructType,
+        partition: str | None = None,
+        surrogate: str | None = None,
     ) -> None:
         self.spark = spark
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition = partition
+        self.surrogate = surrogate
 
     def create_if_absent(self) -> VersionedTable:
         if not files.exists(self.spark, self._pointer):
-            self._point_to([])
+            self._point_to([], 0)
         return self
 
     def folders(self) -> list[str]:
-        if not files.exists(self.spark, self._pointer):
-            return []
-        return json.loads(files.read_text(self.spark, self._pointer))
+        return self._state()["folders"]
+
+    def highest(self) -> int:
+        return self._state()["highest"]
 
     def read(self) -> DataFrame:
         folders = self.folders()
@@ -52,28 +65,39 @@ class VersionedTable:
         if partition_values is not None:
             gone = {f"{self.partition}={value}" for value in partition_values}
             kept = [folder for folder in self.folders() if folder.split("/")[-1] not in gone]
-        self._point_to(kept + self._write(df))
+        self._write(df, kept)
 
     def append(self, df: DataFrame) -> None:
-        self._point_to(self.folders() + self._write(df))
+        self._write(df, self.folders())
 
     @property
     def _pointer(self) -> str:
         return f"{self.path}/current.json"
 
-    def _write(self, df: DataFrame) -> list[str]:
+    def _state(self) -> dict:
+        if not files.exists(self.spark, self._pointer):
+            return {"folders": [], "highest": 0}
+        return json.loads(files.read_text(self.spark, self._pointer))
+
+    def _write(self, df: DataFrame, kept: list[str]) -> None:
+        highest = self.highest()
         version = f"version={self._next_version()}"
-        writer = df.select(*self.schema.fieldNames()).write.mode("errorifexists")
+        rows = df.select(*self.schema.fieldNames())
+        numbers = Observation()
+        if self.surrogate:
+            # Seen while the rows are written, at no further scan.
+            rows = rows.observe(numbers, F.max(self.surrogate).alias("highest"))
+        writer = rows.write.mode("errorifexists")
         if self.partition:
             writer = writer.partitionBy(self.partition)
         writer.parquet(f"{self.path}/{version}")
-        if not self.partition:
-            return [version]
-        return [
-            f"{version}/{name}"
-            for name in files.children(self.spark, f"{self.path}/{version}")
-            if name.startswith(f"{self.partition}=")
-        ]
+        if self.surrogate:
+            highest = max(highest, numbers.get["highest"] or 0)
+        written = [version]
+        if self.partition:
+            names = files.children(self.spark, f"{self.path}/{version}")
+            written = [f"{version}/{name}" for name in names if name.startswith(f"{self.partition}=")]
+        self._point_to(kept + written, highest)
 
     def _next_version(self) -> int:
         return max((int(name.split("=")[1]) for name in self._versions()), default=0) + 1
@@ -97,16 +121,12 @@ class VersionedTable:
     def _versions(self) -> list[str]:
         return [name for name in files.children(self.spark, self.path) if name.startswith("version=")]
 
-    def _point_to(self, folders: list[str]) -> None:
-        files.replace_text(self.spark, self._pointer, json.dumps(sorted(folders)))
+    def _point_to(self, folders: list[str], highest: int) -> None:
+        state = {"folders": sorted(folders), "highest": highest}
+        files.replace_text(self.spark, self._pointer, json.dumps(state))
 
 
 def _no_rows(spark: SparkSession, schema: T.StructType) -> DataFrame:
     """An empty frame the optimizer knows to be empty, so joins with it fold away."""
     typed = [F.lit(None).cast(field.dataType).alias(field.name) for field in schema.fields]
     return spark.range(1).filter("false").select(*typed)
-
-
-def highest(df: DataFrame, column: str) -> int:
-    """The largest value of a column, 0 for an empty table."""
-    return df.agg(F.coalesce(F.max(column), F.lit(0))).first()[0]

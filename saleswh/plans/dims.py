@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from saleswh.operators.dedupe import last_row
 from saleswh.operators.merge import insert_if_absent, merge_rows, number_new_rows
-from saleswh.operators.tables import VersionedTable, highest
+from saleswh.operators.tables import VersionedTable
 from saleswh.sources import conform
 
 
@@ -21,12 +21,10 @@ def product_rows(source: DataFrame) -> DataFrame:
     return last_row(conform.products(source), ["product_id"])
 
 
-def upsert_dimension(table: VersionedTable, rows: DataFrame, key: str, surrogate: str) -> None:
+def upsert_dimension(table: VersionedTable, rows: DataFrame, key: str) -> None:
     """Overwrites attributes by key; surrogate keys and absent rows stay."""
-    current = table.read()
-    merged = merge_rows(current, rows, [key], kept=[surrogate])
-    numbered = number_new_rows(merged.hint("rebalance"), surrogate, highest(current, surrogate))
-    table.replace(numbered)
+    merged = merge_rows(table.read(), rows, [key], kept=[table.surrogate])
+    table.replace(number_new_rows(merged.hint("rebalance"), table.surrogate, table.highest()))
 
 
 def add_missing(table: VersionedTable, rows: DataFrame, key: str) -> None:

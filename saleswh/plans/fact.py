@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from saleswh.functions import keys, money
 from saleswh.operators.dedupe import first_row
 from saleswh.operators.merge import merge_rows, number_new_rows
-from saleswh.operators.tables import VersionedTable, highest
+from saleswh.operators.tables import VersionedTable
 from saleswh.schema import FACT_PARTITION
 from saleswh.sources.conform import fact_fx_rates
 
@@ -93,7 +93,7 @@ def upsert_fact(table: VersionedTable, rows: DataFrame, loaded_at: datetime) ->
     # Rebalancing groups a month into few files and splits a month that is too
     # large for one task; sorted files let date filters skip row groups.
     spread = merged.hint("rebalance", FACT_PARTITION)
-    numbered = number_new_rows(spread, "sales_item_sk", highest(current, "sales_item_sk"))
+    numbered = number_new_rows(spread, "sales_item_sk", table.highest())
     table.replace(numbered.sortWithinPartitions(FACT_PARTITION, "date_key"), touched)
 
 

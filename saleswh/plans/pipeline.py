@@ -6,10 +6,11 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
-from py4j.protocol import Py4JJavaError
+from pyspark.sql.types import StructType
 
 from saleswh import schema
 from saleswh.operators import files
@@ -27,15 +28,20 @@ class Warehouse:
         self.spark = spark
         self.root = root.rstrip("/")
 
-        def table(name: str, columns, partition: str | None = None) -> VersionedTable:
-            return VersionedTable(spark, f"{self.root}/{name}", columns, partition)
+        def table(name: str, columns: StructType, **options: str) -> VersionedTable:
+            return VersionedTable(spark, f"{self.root}/{name}", columns, **options)
 
         self.dim_date = table("dim_date", schema.DIM_DATE)
         self.dim_time = table("dim_time", schema.DIM_TIME)
-        self.dim_customer = table("dim_customer", schema.DIM_CUSTOMER)
-        self.dim_product = table("dim_product", schema.DIM_PRODUCT)
+        self.dim_customer = table("dim_customer", schema.DIM_CUSTOMER, surrogate="customer_sk")
+        self.dim_product = table("dim_product", schema.DIM_PRODUCT, surrogate="product_sk")
         self.dim_fx_rate = table("dim_fx_rate", schema.DIM_FX_RATE)
-        self.fact = table("fact_sales_item", schema.FACT_STORED, schema.FACT_PARTITION)
+        self.fact = table(
+            "fact_sales_item",
+            schema.FACT_STORED,
+            partition=schema.FACT_PARTITION,
+            surrogate="sales_item_sk",
+        )
         self.hourly_sales = table("hourly_sales", schema.HOURLY_SALES)
 
     def create_schema(self, as_of: date, years_back: int = 5, days_ahead: int = 365) -> None:
@@ -62,8 +68,8 @@ class Warehouse:
         goods = dims.product_rows(sources.products)
         with ThreadPoolExecutor(2) as pool:
             jobs = [
-                pool.submit(dims.upsert_dimension, self.dim_customer, people, "customer_id", "customer_sk"),
-                pool.submit(dims.upsert_dimension, self.dim_product, goods, "product_id", "product_sk"),
+                pool.submit(dims.upsert_dimension, self.dim_customer, people, "customer_id"),
+                pool.submit(dims.upsert_dimension, self.dim_product, goods, "product_id"),
             ]
         for job in jobs:
             job.result()
@@ -110,7 +116,7 @@ class Warehouse:
         try:
             totals = fact.hourly_sales(self.fact.read(), self.dim_date.read(), self.dim_time.read())
             self.hourly_sales.replace(totals)
-        except (AnalysisException, Py4JJavaError) as error:
+        except (PySparkException, Py4JJavaError) as error:
             return f"hourly sales not refreshed: {error}"
         return "hourly sales refreshed"
 

@@ -128,16 +128,17 @@ def _products(spark, *triples):
 
 
 def test_dimension_upsert(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "p"), schema.DIM_PRODUCT).create_if_absent()
-    dims.upsert_dimension(table, _products(spark, (1, "Cup", "Home"), (2, "Pen", "Office")), "product_id", "product_sk")
+    table = VersionedTable(spark, str(tmp_path / "p"), schema.DIM_PRODUCT, surrogate="product_sk").create_if_absent()
+    dims.upsert_dimension(table, _products(spark, (1, "Cup", "Home"), (2, "Pen", "Office")), "product_id")
     before = {row["product_id"]: row for row in table.read().collect()}
     assert len({row["product_sk"] for row in before.values()}) == 2
     second = _products(spark, (2, "Pen", "School"), (3, "Mug", None))
     for _ in range(2):
-        dims.upsert_dimension(table, second, "product_id", "product_sk")
+        dims.upsert_dimension(table, second, "product_id")
         after = {row["product_id"]: row for row in table.read().collect()}
         assert after[1] == before[1]
         assert after[2]["category"] == "School" and after[2]["product_sk"] == before[2]["product_sk"]
+        assert table.highest() == after[3]["product_sk"]
         assert after[3]["product_sk"] > max(row["product_sk"] for row in before.values())
         assert len(after) == 3
 
@@ -175,7 +176,9 @@ def _load(spark, table, moment, *triples):
 @pytest.fixture
 def facts_table(spark, tmp_path):
     path = str(tmp_path / "fact")
-    return VersionedTable(spark, path, schema.FACT_STORED, schema.FACT_PARTITION).create_if_absent()
+    return VersionedTable(
+        spark, path, schema.FACT_STORED, schema.FACT_PARTITION, "sales_item_sk"
+    ).create_if_absent()
 
 
 def test_fact_upsert_keeps_number_and_creation(spark, facts_table):
@@ -187,6 +190,7 @@ def test_fact_upsert_keeps_number_and_creation(spark, facts_table):
     assert second[2]["sales_item_sk"] == first[2]["sales_item_sk"] and second[2]["created_at"] == FIRST
     assert second[4]["created_at"] == SECOND
     assert second[4]["sales_item_sk"] > max(row["sales_item_sk"] for row in first.values())
+    assert facts_table.highest() == second[4]["sales_item_sk"]
     again = _load(spark, facts_table, SECOND, (2, "2024-01-06", 20.0), (4, "2024-03-01", 4.0))
     assert again == second
 
