@@ -1,12 +1,8 @@
 """The named report results.
 
-Results grouped by product or customer attributes are summed per product or
-customer key before the dimension is joined. The join then meets one row per
-key, however large the dimension, and a key with a huge share of all sales is
-reduced inside each map task instead of landing in one. Sums of exact decimals
-are the same either way.
-
-Sorted results end with the group key as a tie-break, so they are stable.
+Every sum over a dimension goes through ``sum_with_dimension``, which joins
+first or sums first depending on the size of the dimension. Sorted results end
+with the group key as a tie-break, so they are stable.
 """
 
 from __future__ import annotations
@@ -17,62 +13,55 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleswh.functions import keys, labels
-from saleswh.functions.money import is_iso
+from saleswh.functions.money import is_fx_fallback, is_iso
+from saleswh.operators.joins import sum_with_dimension
 from saleswh.operators.series import pivot_sum, running_total, trailing_mean
 from saleswh.plans.star import Star
 from saleswh.plans.views import sales_base
 from saleswh.session import shared_dir
 
 
-def _units() -> Column:
-    return F.sum("quantity").alias("units")
-
-
-def _revenue() -> Column:
-    return F.sum("line_amount_usd").alias("revenue")
-
-
 def _largest(measure: str, *tie_break: str) -> list[Column]:
     return [F.desc_nulls_first(measure), *(F.asc_nulls_last(name) for name in tie_break)]
 
 
-# Products and categories
+def _measures(sales: DataFrame) -> DataFrame:
+    """The two summed columns under the names they are reported by."""
+    return sales.withColumnsRenamed({"quantity": "units", "line_amount_usd": "revenue"})
 
 
-def _product_totals(sales: DataFrame, star: Star) -> DataFrame:
-    """Units and revenue per known product, with its category and name."""
-    attributes = star.dim_product.select(
+def _iso_sales(star: Star, start: str, end: str) -> DataFrame:
+    """Sales of the window in real currencies, of known and unknown products."""
+    return _measures(keys.in_window(star.fact, start, end).filter(is_iso(F.col("currency"))))
+
+
+def _product_names(star: Star) -> DataFrame:
+    return star.dim_product.select(
         "product_id", F.col("category").alias("product_category"), F.col("name").alias("product_name")
     )
-    return sales.groupBy("product_id").agg(_units(), _revenue()).join(attributes, "product_id")
 
 
-def _iso_product_totals(star: Star, start: str, end: str) -> DataFrame:
-    sales = keys.in_window(star.fact, start, end).filter(is_iso(F.col("currency")))
-    return _product_totals(sales, star)
+def _by_product(sales: DataFrame, star: Star, *by: str) -> DataFrame:
+    """Units and revenue of known products."""
+    return sum_with_dimension(sales, _product_names(star), "product_id", by, ["units", "revenue"])
 
 
-def _regroup(totals: DataFrame, *by: str) -> DataFrame:
-    return totals.groupBy(*by).agg(F.sum("units").alias("units"), F.sum("revenue").alias("revenue"))
+# Products and categories
 
 
 def top_products(
     star: Star, start: str, end: str, categories: Sequence[str] | None = None, limit: int = 20
 ) -> DataFrame:
     """Products by revenue, of all categories or of those listed."""
-    totals = _iso_product_totals(star, start, end)
+    totals = _by_product(_iso_sales(star, start, end), star, "product_category", "product_name")
     if categories is not None:
         totals = totals.filter(F.col("product_category").isin(list(categories)))
-    return (
-        _regroup(totals, "product_category", "product_name")
-        .orderBy(*_largest("revenue", "product_category", "product_name"))
-        .limit(limit)
-    )
+    return totals.orderBy(*_largest("revenue", "product_category", "product_name")).limit(limit)
 
 
 def category_performance(star: Star, start: str, end: str) -> DataFrame:
     """Units and revenue per category, highest revenue first."""
-    totals = _regroup(_iso_product_totals(star, start, end), "product_category")
+    totals = _by_product(_iso_sales(star, start, end), star, "product_category")
     return totals.orderBy(*_largest("revenue", "product_category"))
 
 
@@ -82,14 +71,14 @@ def revenue_by_category(star: Star, start: str, end: str) -> DataFrame:
 
 def revenue_by_product(star: Star, start: str, end: str, limit: int = 15) -> DataFrame:
     """Product names by revenue; products that share a name count as one."""
-    totals = _regroup(_iso_product_totals(star, start, end), "product_name")
+    totals = _by_product(_iso_sales(star, start, end), star, "product_name")
     ordered = totals.orderBy(*_largest("revenue", "product_name")).limit(limit)
     return ordered.select("product_name", "revenue", "units")
 
 
 def top_products_all_currencies(star: Star, limit: int = 10) -> DataFrame:
     """Product names by revenue over all time and all currencies."""
-    totals = _regroup(_product_totals(star.fact, star), "product_name")
+    totals = _by_product(_measures(star.fact), star, "product_name")
     return (
         totals.withColumnRenamed("revenue", "revenue_usd")
         .orderBy(*_largest("revenue_usd", "product_name"))
@@ -101,8 +90,8 @@ def top_products_all_currencies(star: Star, limit: int = 10) -> DataFrame:
 
 
 def _hour_totals(star: Star, start: str, end: str) -> DataFrame:
-    by_hour = star.sales(start, end).groupBy(keys.hour_of_day().alias("hour_of_day"))
-    return by_hour.agg(_revenue(), _units())
+    sales = _iso_sales(star, start, end).withColumn("hour_of_day", keys.hour_of_day())
+    return _by_product(sales, star, "hour_of_day").select("hour_of_day", "revenue", "units")
 
 
 def best_hours(star: Star, start: str, end: str) -> DataFrame:
@@ -114,7 +103,7 @@ def revenue_by_hour(star: Star, start: str, end: str) -> DataFrame:
 
 
 def _day_totals(star: Star, start: str, end: str) -> DataFrame:
-    days = star.sales(start, end).groupBy("date_key").agg(_revenue())
+    days = _by_product(_iso_sales(star, start, end), star, "date_key")
     return days.select(keys.key_to_date().alias("sales_date"), "revenue")
 
 
@@ -139,10 +128,10 @@ def daily_revenue_cumulative(star: Star, start: str, end: str) -> DataFrame:
 
 def _weekday_hours(star: Star, start: str, end: str) -> DataFrame:
     """Summed per day and hour first; the weekday is worked out once per day."""
-    hours = star.sales(start, end).groupBy("date_key", keys.hour_of_day().alias("hour_of_day"))
+    sales = _iso_sales(star, start, end).withColumn("hour_of_day", keys.hour_of_day())
     weekday = keys.weekday_iso(keys.key_to_date())
     return (
-        hours.agg(_revenue())
+        _by_product(sales, star, "date_key", "hour_of_day")
         .groupBy(weekday.alias("weekday_iso"), "hour_of_day")
         .agg(F.sum("revenue").alias("revenue"))
     )
@@ -164,15 +153,10 @@ def weekday_hour_matrix(star: Star, start: str, end: str) -> DataFrame:
 
 
 def _month_categories(star: Star, start: str, end: str) -> DataFrame:
-    """Summed per month and product first, as the categories are the product's."""
-    sales = keys.in_window(star.fact, start, end).filter(is_iso(F.col("currency")))
-    per_product = sales.groupBy(keys.month_of_key().alias("month_key"), "product_id").agg(_revenue())
-    categories = star.dim_product.select("product_id", F.col("category").alias("product_category"))
-    return (
-        per_product.join(categories, "product_id")
-        .groupBy("product_category", F.expr("make_date(month_key DIV 100, month_key % 100, 1)").alias("month"))
-        .agg(F.sum("revenue").alias("revenue"))
-    )
+    sales = _iso_sales(star, start, end).withColumn("month_key", keys.month_of_key())
+    month = F.expr("make_date(month_key DIV 100, month_key % 100, 1)")
+    totals = _by_product(sales, star, "product_category", "month_key")
+    return totals.select("product_category", month.alias("month"), "revenue")
 
 
 def monthly_revenue_by_category(star: Star, start: str, end: str) -> DataFrame:
@@ -208,27 +192,28 @@ def monthly_top_rows(star: Star, start: str, end: str, top: int = 5) -> DataFram
     return matrix.unpivot(["month"], names, "product_category", "revenue")
 
 
-# Customers and countries
+# Customers and countries. Countries are grouped as stored and labelled after.
+
+
+def _by_customer(star: Star, start: str, end: str, *by: str) -> DataFrame:
+    """Revenue of clean sales, by columns of the sale or the customer."""
+    name = labels.or_unknown(F.col("full_name")).alias("named")
+    people = star.dim_customer.select("customer_id", name, F.col("country").alias("raw_country"))
+    sales = _measures(star.sales(start, end))
+    return sum_with_dimension(sales, people, "customer_id", by, ["revenue"], how="left")
 
 
 def top_customers(star: Star, start: str, end: str, limit: int = 10) -> DataFrame:
-    """Customers by revenue. Countries are grouped as stored and labelled after."""
-    per_order = star.sales(start, end).groupBy("customer_id", "order_id").agg(_revenue())
-    people = star.dim_customer.select(
-        "customer_id",
-        labels.or_unknown(F.col("full_name")).alias("customer_name"),
-        F.col("country").alias("raw_country"),
-    )
-    no_name = F.coalesce("customer_name", F.lit("Unknown")).alias("customer_name")
-    totals = (
-        per_order.join(people, "customer_id", "left")
-        .groupBy(no_name, "raw_country")
-        .agg(F.countDistinct("order_id").alias("orders"), F.sum("revenue").alias("revenue"))
-    )
+    """Customers by revenue, with their number of orders."""
+    per_order = _by_customer(star, start, end, "named", "raw_country", "order_id")
+    totals = per_order.groupBy(
+        F.coalesce("named", F.lit("Unknown")).alias("customer_name"), "raw_country"
+    ).agg(F.countDistinct("order_id").alias("orders"), F.sum("revenue").alias("revenue"))
+    country = labels.or_unknown(F.col("raw_country")).alias("country")
     return (
         totals.orderBy(*_largest("revenue", "customer_name", "raw_country"))
         .limit(limit)
-        .select("customer_name", labels.or_unknown(F.col("raw_country")).alias("country"), "orders", "revenue")
+        .select("customer_name", country, "orders", "revenue")
     )
 
 
@@ -238,13 +223,7 @@ def top_customer_labels(star: Star, start: str, end: str, limit: int = 10) -> Da
 
 
 def revenue_by_country(star: Star, start: str, end: str) -> DataFrame:
-    per_customer = star.sales(start, end).groupBy("customer_id").agg(_revenue())
-    countries = star.dim_customer.select("customer_id", F.col("country").alias("raw_country"))
-    totals = (
-        per_customer.join(countries, "customer_id", "left")
-        .groupBy("raw_country")
-        .agg(F.sum("revenue").alias("revenue"))
-    )
+    totals = _by_customer(star, start, end, "raw_country")
     return totals.orderBy(*_largest("revenue", "raw_country")).select(
         labels.or_unknown(F.col("raw_country")).alias("country"), "revenue"
     )
@@ -252,14 +231,8 @@ def revenue_by_country(star: Star, start: str, end: str) -> DataFrame:
 
 def avg_order_value_by_country(star: Star, start: str, end: str) -> DataFrame:
     """Mean order total per country label."""
-    per_order = star.sales(start, end).groupBy("customer_id", "order_id").agg(_revenue())
-    countries = star.dim_customer.select("customer_id", F.col("country").alias("raw_country"))
-    orders = (
-        per_order.join(countries, "customer_id", "left")
-        .groupBy("order_id", "raw_country")
-        .agg(F.sum("revenue").alias("order_revenue"))
-    )
-    average = F.sum("order_revenue").cast("double") / F.count("order_revenue")
+    orders = _by_customer(star, start, end, "order_id", "raw_country")
+    average = F.sum("revenue").cast("double") / F.count("revenue")
     return (
         orders.groupBy(labels.or_unknown(F.col("raw_country")).alias("country"))
         .agg(average.alias("avg_order_value"))
@@ -280,9 +253,15 @@ def non_iso_currency_counts(star: Star) -> DataFrame:
 
 def fx_coverage(star: Star, start: str, end: str) -> DataFrame:
     """Lines in the window, and how many of them have a rate or the fallback."""
-    counts = star.sales(start, end).agg(
-        F.count(F.lit(1)).alias("lines_total"), F.count_if("is_fx_fallback").alias("lines_fx_fallback")
+    fallback = is_fx_fallback(F.col("currency"), F.col("fx_rate_to_usd"))
+    counted = _iso_sales(star, start, end).select(
+        "product_id",
+        F.lit(1).cast("bigint").alias("lines_total"),
+        fallback.cast("bigint").alias("lines_fx_fallback"),
     )
+    names = ["lines_total", "lines_fx_fallback"]
+    known = star.dim_product.select("product_id")
+    counts = sum_with_dimension(counted, known, "product_id", [], names).na.fill(0)
     covered = F.greatest(F.col("lines_total") - F.col("lines_fx_fallback"), F.lit(0))
     return counts.withColumn("lines_with_rate", covered)
 

@@ -44,6 +44,13 @@ REPORTS = [
 ]
 
 
+CUSTOMER_REPORTS = [
+    metrics.top_customers,
+    metrics.revenue_by_country,
+    metrics.avg_order_value_by_country,
+]
+
+
 @pytest.mark.parametrize("report", REPORTS, ids=lambda report: report.__name__)
 def test_reports_prune_and_stay_in_the_jvm(star, report):
     plan = _plan(report(star, *YEAR))
@@ -70,9 +77,30 @@ def test_top_lists_do_not_sort_everything(star):
         assert "TakeOrderedAndProject" in _plan(report(star, *YEAR))
 
 
-def test_product_sums_come_before_the_product_join(star):
-    plan = _plan(metrics.top_products(star, *YEAR))
-    assert plan.index("Join") < plan.index("partial_sum(quantity")
+@pytest.mark.parametrize("report", REPORTS, ids=lambda report: report.__name__)
+def test_large_dimensions_meet_sums_and_give_the_same(spark, star, report):
+    """Without broadcasts the facts are summed before any shuffle."""
+    small = sorted(report(star, *YEAR).collect(), key=repr)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = report(star, *YEAR)
+        plan = _plan(large)
+        assert "SortMergeJoin" in plan
+        if report not in CUSTOMER_REPORTS:
+            shuffled = plan[plan.index("Exchange hashpartitioning(product_id") :]
+            assert "partial_sum" in shuffled.split("FileScan")[0]
+        assert sorted(large.collect(), key=repr) == small
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_small_dimensions_leave_the_facts_in_place(star):
+    """The facts reach their first shuffle as sums per group."""
+    for report in REPORTS:
+        plan = _plan(report(star, *YEAR))
+        above_scan = plan[: plan.index(_fact_scan(plan))]
+        assert "partial_sum" in above_scan[above_scan.rindex(" Exchange ") :]
 
 
 def test_hot_order_is_split_in_the_item_join(spark):
