@@ -5,6 +5,7 @@ from decimal import Decimal
 from pyspark.sql import functions as F
 
 from saleswh.operators.dedupe import first_row, last_row
+from saleswh.operators.joins import fits_broadcast, sum_with_dimension
 from saleswh.plans import dims, fact
 from tests import builders as b
 from tests.conftest import rows
@@ -105,3 +106,31 @@ def test_source_counts_and_categories(spark):
     goods = spark.createDataFrame([(1, "B", "x"), (2, "C", "x")], "id long, name string, category string")
     assert rows(dims.source_counts(products=goods, none=goods.filter("false"))) == [("none", 0), ("products", 2)]
     assert rows(dims.product_categories(goods)) == [("x",)]
+
+
+def test_sums_are_the_same_whichever_side_is_reduced_first(spark):
+    """A product with a third of all sales, an unknown one, and a left join."""
+    sales = spark.range(0, 3000, 1, 4).select(
+        F.when(F.col("id") % 3 == 0, 1).otherwise(F.col("id") % 11).alias("k"),
+        (F.col("id") % 5).alias("day"),
+        (F.col("id") / 7).cast("decimal(18,4)").alias("amount"),
+    )
+    dimension = spark.range(1, 9).selectExpr("id AS k", "concat('c', id % 3) AS c")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    results = []
+    for threshold in ("100m", "-1"):
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+        try:
+            assert fits_broadcast(dimension) is (threshold != "-1")
+            results.append(
+                [
+                    rows(sum_with_dimension(sales, dimension, "k", by, ["amount"], how))
+                    for by in (["c"], ["day"], ["c", "day"], [])
+                    for how in ("inner", "left")
+                ]
+            )
+        finally:
+            spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert results[0] == results[1]
+    total = sum(row["amount"] for row in sales.collect())
+    assert results[0][7] == [(total,)] and results[0][6][0][0] < total

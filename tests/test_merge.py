@@ -3,6 +3,8 @@ from __future__ import annotations
 from datetime import datetime
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from saleswh import schema
@@ -220,3 +222,16 @@ def test_loading_nothing(spark, facts_table):
     empty = facts_table.read().filter("false").drop("sales_item_sk", "created_at", "sales_month")
     fact.upsert_fact(facts_table, empty, SECOND)
     assert facts_table.folders() == before and facts_table.read().count() == 1
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    st.dictionaries(st.integers(0, 20), st.one_of(st.none(), st.text("ab", max_size=2)), max_size=15),
+    st.dictionaries(st.integers(0, 20), st.one_of(st.none(), st.text("ab", max_size=2)), max_size=15),
+)
+def test_merge_equals_a_dictionary_update(spark, old, new):
+    def table(values, made):
+        return spark.createDataFrame([(k, v, made) for k, v in values.items()], "k int, v string, made int")
+
+    found = {row["k"]: (row["v"], row["made"]) for row in merge_rows(table(old, 1), table(new, 2), ["k"], ["made"]).collect()}
+    assert found == {k: ({**old, **new}[k], 1 if k in old else 2) for k in old | new}
