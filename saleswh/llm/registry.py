@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saleswh.llm import packing, token_counts, token_files
+from saleswh.llm import decontamination, packing, quality, secrets, token_counts, token_files, url_filter
 from saleswh.llm.common import read_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,23 +18,54 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+# The rules of the URL query.
+URL_RULES = [
+    ("allow", "org", "/"),
+    ("block", "example.org", "/es/"),
+    ("block", "example.org", "/en/1"),
+    ("allow", "com", "/fr/"),
+    ("block", "com", "/de/"),
+]
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontamination.contaminated_pairs(read_documents(spark, sf_dir), benchmark)
+
+
+def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.scan_secrets(read_documents(spark, sf_dir))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), capacity=2048)
 
 
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), URL_RULES)
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_round_trip(
         read_documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"), end_id=2, vocabulary=49408
     )
 
 
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality_verdicts(read_documents(spark, sf_dir))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
 QUERIES: dict[str, Query] = {
+    "op2_decontamination": op2_decontamination,
+    "op3_secrets": op3_secrets,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_url_filter": op6_url_filter,
     "op7_token_files": op7_token_files,
+    "op8_quality_rules": op8_quality_rules,
     "op10_token_counts": op10_token_counts,
 }
 
