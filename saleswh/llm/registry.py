@@ -6,7 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from saleswh.llm import decontamination, packing, quality, secrets, token_counts, token_files, url_filter
+from saleswh.llm import (
+    decontamination,
+    near_duplicates,
+    packing,
+    quality,
+    secrets,
+    token_counts,
+    token_files,
+    url_filter,
+)
 from saleswh.llm.common import read_documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -37,6 +46,10 @@ def op3_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(read_documents(spark, sf_dir))
 
 
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicate_groups(read_documents(spark, sf_dir))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"), capacity=2048)
 
@@ -62,6 +75,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op2_decontamination": op2_decontamination,
     "op3_secrets": op3_secrets,
+    "op4_near_duplicates": op4_near_duplicates,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_url_filter": op6_url_filter,
     "op7_token_files": op7_token_files,
