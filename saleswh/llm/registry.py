@@ -11,6 +11,7 @@ from saleswh.llm import (
     near_duplicates,
     packing,
     quality,
+    repeated_bytes,
     secrets,
     token_counts,
     token_files,
@@ -68,6 +69,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_verdicts(read_documents(spark, sf_dir))
 
 
+def op9_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.without_repeats(read_documents(spark, sf_dir)).drop("kept_data")
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
@@ -80,6 +85,7 @@ QUERIES: dict[str, Query] = {
     "op6_url_filter": op6_url_filter,
     "op7_token_files": op7_token_files,
     "op8_quality_rules": op8_quality_rules,
+    "op9_repeated_bytes": op9_repeated_bytes,
     "op10_token_counts": op10_token_counts,
 }
 
