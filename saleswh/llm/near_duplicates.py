@@ -5,9 +5,11 @@ its maximum, so a signature of 256 values takes half the evaluations. Five
 values make a band; texts that share a band are candidates. Texts with equal
 shingle sets are one class from the start. In a bucket of many classes each is
 first compared with two of them only; those linked become one component, and
-then only classes of different components are compared, block by block inside
-tasks, with one byte per signature value. What may be alike is confirmed on the
-full sets, so no link rests on an estimate.
+then only classes of different components are compared, with one byte per
+signature value. What may be alike is confirmed on the full sets, so no link
+rests on an estimate. Buckets with many classes left make families; a family is
+compared once, block by block inside tasks that hold the sets themselves, and
+only links leave them.
 """
 
 from __future__ import annotations
@@ -28,9 +30,10 @@ SHINGLE = 5
 PERMUTATIONS, ROWS = 128, 5
 BANDS = 2 * PERMUTATIONS // ROWS
 PERCENT = 75
-#: Of 256 one-byte values a pair at 0.75 shares 193 on average, with deviation 7; 130 is nine deviations less.
-LEAST_SHARED_BYTES = 130
-BLOCK = 256
+#: Of 256 one-byte values a pair at 0.75 shares 193 on average, with deviation 7; 150 is six deviations less.
+LEAST_SHARED_BYTES = 150
+#: Buckets with more classes than this are compared as families, in blocks of so many classes.
+MOST_IN_BUCKET, BLOCK = 64, 256
 
 _random = np.random.default_rng(20240229)
 _FACTOR = (_random.integers(0, 2**31, PERMUTATIONS, dtype=np.uint32) * np.uint32(2) + np.uint32(1))[:, None]
@@ -157,10 +160,9 @@ def _resembling(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     )
 
 
-def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
-    """Pairs that hold the threshold on their full shingle sets."""
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
-    first = classes.join(ends, "set_id", "left_semi").select("set_id", "first_doc")
+def _texts(wanted: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """One text for each ``set_id`` wanted."""
+    first = classes.join(wanted, "set_id", "left_semi").select("set_id", "first_doc")
     own = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     texts = own.join(first, own["doc_id"].eqNullSafe(first["first_doc"])).select("set_id", "text")
 
@@ -174,8 +176,11 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame) -> Da
             ]
             yield batch.filter(pa.array(is_own, pa.bool_()))
 
-    texts = per_batch(texts, own_text, "set_id binary, text string").dropDuplicates(["set_id"])
-    texts = kept(texts)
+    return kept(per_batch(texts, own_text, "set_id binary, text string").dropDuplicates(["set_id"]))
+
+
+def _confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs that hold the threshold on their full shingle sets."""
     both = pairs.join(texts.select(F.col("set_id").alias("a"), F.col("text").alias("text_a")), "a").join(
         texts.select(F.col("set_id").alias("b"), F.col("text").alias("text_b")), "b"
     )
@@ -183,101 +188,193 @@ def _confirmed(pairs: DataFrame, classes: DataFrame, documents: DataFrame) -> Da
     def confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = [word_hashes(batch.column(i)) for i in (2, 3)]
-            linked = []
-            for row in range(batch.num_rows):
-                one, other = (shingle_set(w[e[row] : e[row + 1]]) for w, e in sides)
-                shared = len(np.intersect1d(one, other, assume_unique=True))
-                linked.append(100 * shared >= PERCENT * (len(one) + len(other) - shared))
+            linked = [
+                _linked(*(shingle_set(w[e[row] : e[row + 1]]) for w, e in sides)) for row in range(batch.num_rows)
+            ]
             yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
     return kept(per_batch(both.select("a", "b", "text_a", "text_b"), confirm, "a binary, b binary"))
 
 
-def _across(unresolved: DataFrame) -> DataFrame:
-    """Resembling pairs of different components within each bucket.
+def _linked(one: np.ndarray, other: np.ndarray) -> bool:
+    shared = len(np.intersect1d(one, other, assume_unique=True))
+    return 100 * shared >= PERCENT * (len(one) + len(other) - shared)
+
+
+def _by_key(
+    batches: Iterator[pa.RecordBatch], key_columns: int, rows_at_once: int = 4096
+) -> Iterator[tuple[pa.Table, list[tuple[int, int]]]]:
+    """Whole groups of equal keys from sorted rows, some groups at a time, as a table and their bounds."""
+    held: list[pa.RecordBatch] = []
+
+    def bounds(table: pa.Table) -> list[int]:
+        keys = [table.column(i).to_numpy() for i in range(key_columns)]
+        new = np.zeros(max(table.num_rows - 1, 0), bool)
+        for key in keys:
+            new |= key[1:] != key[:-1]
+        return [0, *(np.flatnonzero(new) + 1).tolist()]
+
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= rows_at_once:
+            table = pa.Table.from_batches(held)
+            starts = bounds(table)
+            if len(starts) > 1:
+                yield table.slice(0, starts[-1]), list(zip(starts[:-1], starts[1:], strict=True))
+                held = table.slice(starts[-1]).to_batches()
+    if held:
+        table = pa.Table.from_batches(held)
+        starts = bounds(table)
+        yield table, list(zip(starts, [*starts[1:], table.num_rows], strict=True))
+
+
+def _numbers(values: list) -> np.ndarray:
+    seen: dict = {}
+    return np.array([-1 if v is None else seen.setdefault(v, len(seen)) for v in values])
+
+
+def _alike(size: np.ndarray, signed: np.ndarray, x: int, others: np.ndarray) -> np.ndarray:
+    """Those of ``others`` that sizes and signatures allow to be linked with row ``x``."""
+    near = 100 * np.minimum(size[others], size[x]) >= PERCENT * np.maximum(size[others], size[x])
+    others = others[near]
+    return others[(signed[others] == signed[x]).sum(axis=1) >= LEAST_SHARED_BYTES]
+
+
+def _signatures(column: pa.ChunkedArray) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.uint8).reshape(-1, 2 * PERMUTATIONS)
+
+
+def _pairs_in_buckets(entries: DataFrame) -> DataFrame:
+    """Resembling pairs of different components within small buckets, but for those of one family.
+
+    ``entries``: band, set_id, component, family, n_shingles, bytes.
+    """
+    dealt = entries.repartition("band").sortWithinPartitions("band")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, groups in _by_key(batches, 1):
+            sets, size, signed = rows.column(1).to_pylist(), rows.column(4).to_numpy(), _signatures(rows.column(5))
+            part, family = _numbers(rows.column(2).to_pylist()), _numbers(rows.column(3).to_pylist())
+            found: set[tuple[bytes, bytes]] = set()
+            for a, b in groups:
+                for x in range(a, b - 1):
+                    others = np.arange(x + 1, b)
+                    apart = (family[others] != family[x]) | (family[x] < 0)
+                    others = others[(part[others] != part[x]) & apart]
+                    for y in _alike(size, signed, x, others).tolist() if len(others) else ():
+                        found.add((min(sets[x], sets[y]), max(sets[x], sets[y])))
+            if found:
+                one, other = zip(*sorted(found), strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(one, pa.binary()), pa.array(other, pa.binary())], names=["a", "b"]
+                )
+
+    columns = ["band", "set_id", "component", "family", "n_shingles", "bytes"]
+    return per_batch(dealt.select(*columns), compare, "a binary, b binary").distinct()
+
+
+def _links_in_families(members: DataFrame) -> DataFrame:
+    """Links between different components of each family; of links that join the same parts one is enough.
 
-    ``unresolved``: band, set_id, component, bytes, n_shingles. The largest
-    component of a bucket is only compared with the rest; both are dealt out in
-    blocks, so a task holds two blocks at a time, however large the bucket.
+    ``members``: family, set_id, component, n_shingles, bytes, shingles. The
+    largest component of a family is only compared with the rest; both are dealt
+    out in blocks, so a task holds two blocks at a time, however large the family.
     """
-    by_component = unresolved.groupBy("band", "component").agg(F.count("*").alias("n"))
-    per_band = by_component.groupBy("band").agg(
+    by_component = members.groupBy("family", "component").agg(F.count("*").alias("n"))
+    per_family = by_component.groupBy("family").agg(
         F.max(F.struct("n", "component")).alias("main"), F.sum("n").alias("total")
     )
-    sized = unresolved.join(per_band, "band").select(
-        "band", "set_id", "component", "bytes", "n_shingles",
+    sized = members.join(per_family, "family").select(
+        *members.columns,
         (F.col("component") == F.col("main.component")).alias("in_main"),
         F.ceil(F.col("main.n") / BLOCK).cast("int").alias("main_blocks"),
         F.ceil((F.col("total") - F.col("main.n")) / BLOCK).cast("int").alias("rest_blocks"),
-    )
-    block = F.pmod(F.xxhash64("set_id"), F.when(F.col("in_main"), F.col("main_blocks")).otherwise(F.col("rest_blocks")))
+    )
+    blocks = F.when(F.col("in_main"), F.col("main_blocks")).otherwise(F.col("rest_blocks"))
+    own = F.col("block")
     rest = F.sequence(F.lit(0), F.col("rest_blocks") - 1)
-    own = F.col("block").cast("int")
-    # A task's key: first block, second block; blocks of the main component count as negative.
-    keys = F.when(
-        F.col("in_main"), F.transform(rest, lambda j: F.struct((-own - 1).alias("i"), j.cast("int").alias("j")))
-    ).otherwise(
+    main = F.sequence(F.lit(1), F.col("main_blocks"))
+
+    def pair(i: Column, j: Column) -> Column:
+        return F.struct(i.cast("int").alias("i"), j.cast("int").alias("j"))
+
+    # A task's key: two blocks of the rest, or one of the main component (counted below 0) and one of the rest.
+    keys = F.when(F.col("in_main"), F.transform(rest, lambda j: pair(-own - 1, j))).otherwise(
         F.concat(
-            F.transform(rest, lambda j: F.struct(F.least(own, j).cast("int").alias("i"), F.greatest(own, j).cast("int").alias("j"))),
-            F.transform(
-                F.sequence(F.lit(1), F.col("main_blocks")), lambda m: F.struct((-m).cast("int").alias("i"), own.alias("j"))
-            ),
+            F.transform(rest, lambda j: pair(F.least(own, j), F.greatest(own, j))), F.transform(main, lambda m: pair(-m, own))
         )
     )
     dealt = (
-        sized.withColumn("block", block)
-        .select("band", "set_id", "component", "bytes", "n_shingles", F.explode(keys).alias("key"))
-        .select("band", "key.i", "key.j", "set_id", "component", "bytes", "n_shingles")
+        sized.filter("rest_blocks > 0")
+        .withColumn("block", F.pmod(F.xxhash64("set_id"), blocks).cast("int"))
+        .withColumn("key", F.explode(keys))
+        .select("family", "key.i", "key.j", "set_id", "component", "n_shingles", "bytes", "shingles")
     )
-    dealt = dealt.repartition("band", "i", "j").sortWithinPartitions("band", "i", "j")
+    # Families are binary ids; a number sorts and compares faster.
+    dealt = dealt.withColumn("family", F.xxhash64("family"))
+    dealt = dealt.repartition("family", "i", "j").sortWithinPartitions("family", "i", "j")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def pairs(rows: pa.Table) -> Iterator[pa.RecordBatch]:
-            keys = np.stack([rows.column(i).to_numpy() for i in range(3)])
-            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            sets, parts = rows.column(3).to_pylist(), rows.column(4).to_pylist()
-            signed = np.frombuffer(b"".join(rows.column(5).to_pylist()), np.uint8).reshape(-1, 2 * PERMUTATIONS)
-            size = rows.column(6).to_numpy()
-            number: dict[bytes, int] = {}
-            part = np.array([number.setdefault(p, len(number)) for p in parts])
-            found: set[tuple[bytes, bytes]] = set()
-            for a, b in zip(np.append(0, cuts), np.append(cuts, rows.num_rows), strict=True):
+        for rows, groups in _by_key(batches, 3, rows_at_once=1):
+            sets, size, signed = rows.column(3).to_pylist(), rows.column(5).to_numpy(), _signatures(rows.column(6))
+            part = _numbers(rows.column(4).to_pylist())
+            shingles = [np.frombuffer(x, np.uint64) for x in rows.column(7).to_pylist()]
+            one, other = [], []
+            for a, b in groups:
+                joined = {p: p for p in set(part[a:b].tolist())}
+
+                def root(p: int, joined: dict[int, int] = joined) -> int:
+                    while joined[p] != p:
+                        joined[p] = joined[joined[p]]
+                        p = joined[p]
+                    return p
+
                 for x in range(a, b - 1):
-                    rest = slice(x + 1, b)
-                    ok = (part[rest] != part[x]) & (100 * np.minimum(size[rest], size[x]) >= PERCENT * np.maximum(size[rest], size[x]))
-                    at = np.flatnonzero(ok) + x + 1
-                    if len(at):
-                        for y in at[(signed[at] == signed[x]).sum(axis=1) >= LEAST_SHARED_BYTES].tolist():
-                            if sets[x] != sets[y]:
-                                found.add((min(sets[x], sets[y]), max(sets[x], sets[y])))
-            if found:
-                one, other = zip(*sorted(found), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(one, pa.binary()), pa.array(other, pa.binary())], names=["a", "b"])
+                    others = np.arange(x + 1, b)
+                    others = others[part[others] != part[x]]
+                    for y in _alike(size, signed, x, others).tolist() if len(others) else ():
+                        p, q = root(int(part[x])), root(int(part[y]))
+                        if p != q and _linked(shingles[x], shingles[y]):
+                            joined[p] = q
+                            one.append(sets[x])
+                            other.append(sets[y])
+            if one:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(one, pa.binary()), pa.array(other, pa.binary())], names=["a", "b"]
+                )
+
+    return per_batch(dealt, compare, "a binary, b binary")
+
 
-        last = None
+def _with_shingles(texts: DataFrame) -> DataFrame:
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            # Rows of a key may go on in the next batch: hold back the last key.
-            key = np.stack([batch.column(i).to_numpy() for i in range(3)])
-            start = int(np.argmax((key == key[:, -1:]).all(axis=0)))
-            if last is not None and not (key[:, 0] == last).all() or start > 0:
-                same = last is not None and (key[:, 0] == last).all()
-                whole = held + ([batch.slice(0, start)] if start else [])
-                if not same and not start:
-                    whole = held
-                if whole:
-                    yield from pairs(pa.Table.from_batches(whole))
-                held = [batch.slice(start)]
-            else:
-                held.append(batch)
-            last = key[:, -1]
-        if held:
-            yield from pairs(pa.Table.from_batches(held))
-
-    return per_batch(dealt, compare, "a binary, b binary").distinct()
+            words, edges = word_hashes(batch.column(1))
+            found = [shingle_set(words[a:b]).tobytes() for a, b in zip(edges[:-1], edges[1:], strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], names=["set_id", "shingles"])
+
+    return per_batch(texts, build, "set_id binary, shingles binary")
+
+
+def _later_links(unresolved: DataFrame, first_pairs: DataFrame, classes: DataFrame, documents: DataFrame) -> DataFrame:
+    """Links between classes that share a bucket but are in different components so far.
+
+    ``unresolved``: band, set_id, component, and n, the classes of the band.
+    """
+    known = classes.select("set_id", "n_shingles", "bytes")
+    crowded = unresolved.filter(F.col("n") > MOST_IN_BUCKET)
+    lowest = crowded.groupBy("band").agg(F.min("set_id").alias("b"))
+    families = connected_components(crowded.join(lowest, "band").select(F.col("set_id").alias("a"), "b")).select(
+        F.col("node").alias("set_id"), F.col("component").alias("family")
+    )
+    entries = unresolved.filter(F.col("n") <= MOST_IN_BUCKET).join(families, "set_id", "left").join(known, "set_id")
+    pairs = kept(_pairs_in_buckets(entries).join(first_pairs, ["a", "b"], "left_anti"))
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("set_id")).unionByName(families.select("set_id")).distinct()
+    texts = _texts(wanted, classes, documents)
+    members = crowded.select("set_id", "component").distinct().join(families, "set_id").join(known, "set_id")
+    in_families = _links_in_families(members.join(_with_shingles(texts), "set_id"))
+    return _confirmed(pairs, texts).unionByName(in_families)
 
 
 def near_duplicate_groups(documents: DataFrame) -> DataFrame:
@@ -295,30 +392,31 @@ def near_duplicate_groups(documents: DataFrame) -> DataFrame:
             F.min("doc_id").alias("first_doc"), F.first("n_shingles").alias("n_shingles"), F.min("bytes").alias("bytes")
         )
     )
-    banded = with_words.select(F.explode("bands").alias("band"), "set_id").groupBy("band", "set_id").agg(F.lit(1).alias("_"))
+    banded = with_words.select(F.explode("bands").alias("band"), "set_id").distinct()
     buckets = banded.groupBy("band").agg(
         F.count("*").alias("n"), F.min("set_id").alias("low"), F.max("set_id").alias("high")
     )
-    members = kept(
-        banded.drop("_").join(buckets.filter("n > 1").drop("n"), "band")
-    )
+    members = kept(banded.join(buckets.filter("n > 1").drop("n"), "band"))
+    member, low, high = F.col("set_id"), F.col("low"), F.col("high")
     pivots = members.select(
-        F.explode(F.array(F.struct(*_ordered(F.col("set_id"), F.col("low"))), F.struct(*_ordered(F.col("set_id"), F.col("high"))))).alias("p")
+        F.explode(F.array(F.struct(*_ordered(member, low)), F.struct(*_ordered(member, high)))).alias("p")
     ).select("p.*")
     first_pairs = kept(_resembling(pivots.filter("a != b").distinct(), classes))
-    links = _confirmed(first_pairs, classes, documents)
+    ends = first_pairs.select(F.explode(F.array("a", "b")).alias("set_id")).distinct()
+    links = _confirmed(first_pairs, _texts(ends, classes, documents))
     component = connected_components(links)
     placed = members.select("band", "set_id").join(component, F.col("set_id") == F.col("node"), "left").select(
         "band", "set_id", F.coalesce("component", "set_id").alias("component")
     )
-    open_bands = placed.groupBy("band").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x != y")
-    unresolved = placed.join(open_bands.select("band"), "band", "left_semi").join(
-        classes.select("set_id", "bytes", "n_shingles"), "set_id"
+    open_bands = (
+        placed.groupBy("band")
+        .agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
+        .filter("x != y")
+        .select("band", "n")
     )
-    more_pairs = kept(_across(unresolved).join(first_pairs, ["a", "b"], "left_anti"))
-    if not more_pairs.isEmpty():
-        links = links.unionByName(_confirmed(more_pairs, classes, documents))
-        component = connected_components(links)
+    unresolved = kept(placed.join(open_bands, "band"))
+    links = links.unionByName(_later_links(unresolved, first_pairs, classes, documents))
+    component = connected_components(links)
     labelled = classes.join(component, F.col("set_id") == F.col("node"), "left").select(
         "set_id", "first_doc", F.coalesce("component", "set_id").alias("component")
     )
