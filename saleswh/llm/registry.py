@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from saleswh.llm import (
     decontamination,
+    lm_scoring,
     near_duplicates,
     packing,
     quality,
@@ -38,6 +39,10 @@ URL_RULES = [
 ]
 
 
+def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(read_documents(spark, sf_dir))
+
+
 def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontamination.contaminated_pairs(read_documents(spark, sf_dir), benchmark)
@@ -78,6 +83,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_score": op1_lm_score,
     "op2_decontamination": op2_decontamination,
     "op3_secrets": op3_secrets,
     "op4_near_duplicates": op4_near_duplicates,
