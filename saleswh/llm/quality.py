@@ -212,6 +212,8 @@ def drop_low_quality(documents: DataFrame, least: float = 0.5) -> DataFrame:
     need not be moved.
     """
     own = documents.select(F.struct(*documents.columns).alias("_row"), F.col("text").alias("text"))
-    model = fit_label_model(with_votes(documents.select("text")))
-    good = with_votes(own).filter(~base_failed() & (model.posterior() >= least))
+    model = fit_label_model(kept(with_votes(documents.select("text")).drop("text")))
+    # The row number keeps the optimizer from writing all features into the filter, again for each use.
+    voted = with_votes(own).withColumn("_at", F.monotonically_increasing_id())
+    good = voted.filter(~base_failed() & (model.posterior() >= least) & (F.col("_at") >= 0))
     return good.select("_row.*")
