@@ -13,7 +13,7 @@ def or_unknown(text: Column) -> Column:
 
 def strip(text: Column) -> Column:
     """Removes any outer white space, not only blanks."""
-    return F.regexp_replace(text, r"^\s+|\s+$", "")
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
 def title_case(text: Column) -> Column:
@@ -25,7 +25,7 @@ def title_case(text: Column) -> Column:
 def customer_label(name: Column, country: Column) -> Column:
     """'name — Country', with unknown names written in one way."""
     who = F.regexp_replace(
-        strip(F.coalesce(name, F.lit("Unknown"))), r"(?i)^\s*~?\s*unknown.*$", "Unknown Customer"
+        strip(F.coalesce(name, F.lit("Unknown"))), r"(?iU)^\s*~?\s*unknown.*$", "Unknown Customer"
     )
     where = title_case(strip(F.coalesce(country, F.lit("Unknown"))))
     return F.concat(who, F.lit(" — "), where)

@@ -7,10 +7,6 @@ from pyspark.sql import functions as F
 
 from saleswh.schema import ISO_CURRENCIES, MONEY, RATE
 
-# Inside these bounds quantity x price x rate is exact in 38 digits.
-MAX_AMOUNT = 10**8
-MAX_RATE = 10**4
-
 
 def normal_currency(currency: Column) -> Column:
     """Upper-cased code, USD where there is none. Blanks are left alone."""
@@ -23,17 +19,17 @@ def rate_or_fallback(rate: Column) -> Column:
 
 
 def unit_price_usd(price: Column, rate: Column) -> Column:
-    return (price.cast("decimal(12,4)") * rate.cast("decimal(12,8)")).cast(MONEY)
+    return (price.cast(MONEY) * rate.cast(RATE)).cast(MONEY)
 
 
 def line_amount_usd(quantity: Column, price: Column, rate: Column) -> Column:
     """Rounded once, half up, from the exact product of the unrounded inputs.
 
-    decimal(12,4) x decimal(12,4) x decimal(12,8) is decimal(38,16), the widest
-    exact product Spark types; with wider factors it would round twice.
+    The product has 16 decimals, which Spark keeps if decimal operations may not
+    lose precision (``session.use_exact_decimals``). An amount that does not
+    fit its column raises in the cast.
     """
-    exact = quantity.cast("decimal(12,4)") * price.cast("decimal(12,4)") * rate.cast("decimal(12,8)")
-    return exact.cast(MONEY)
+    return (quantity.cast(MONEY) * price.cast(MONEY) * rate.cast(RATE)).cast(MONEY)
 
 
 def usd_rate(code: Column, units: Column, base: Column, usd_units: Column) -> Column:

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def fits_broadcast(df: DataFrame) -> bool:
@@ -15,6 +16,14 @@ def fits_broadcast(df: DataFrame) -> bool:
     return 0 <= estimate <= limit
 
 
+def _sum(facts: DataFrame, name: str) -> Column:
+    """The sum in the type that Spark gives a single sum of this column."""
+    kind, total = facts.schema[name].dataType, F.sum(name)
+    if isinstance(kind, T.DecimalType):
+        total = total.cast(T.DecimalType(min(38, kind.precision + 10), kind.scale))
+    return total.alias(name)
+
+
 def sum_with_dimension(
     facts: DataFrame,
     dimension: DataFrame,
@@ -30,9 +39,9 @@ def sum_with_dimension(
     after the facts have been summed per key and own group columns: then a key
     with a huge share of the facts is reduced inside each task, and the join
     meets sums instead of facts. ``dimension`` has one row per key, so both
-    ways give the same exact sums.
+    ways give the same exact sums, and sums have one type whichever way is taken.
     """
-    totals = [F.sum(name).alias(name) for name in sums]
+    totals = [_sum(facts, name) for name in sums]
     if not fits_broadcast(dimension):
         own = [name for name in by if name in facts.columns and name != key]
         facts = facts.groupBy(key, *own).agg(*totals)

@@ -31,21 +31,18 @@ def fx_rate_rows(
     provider: str,
     fetched_at: datetime,
     run_date: date | None = None,
-    first_day: date | None = None,
 ) -> DataFrame:
     """Rows for ``run_date`` alone, or for every day orders were placed between.
 
-    Without a run date the first to the last order day is filled, not going
-    back before ``first_day`` if that is given; with no orders there are no
-    rows. The days are unfolded from a two-date array on each currency row.
+    Without a run date the first to the last order day is filled; with no orders
+    there are no rows. The days are unfolded from a two-date array on each
+    currency row.
     """
     if run_date:
         low = high = F.lit(run_date)
     else:
         days = order_date_range(orders)
         low, high = days.select("first_day").scalar(), days.select("last_day").scalar()
-        if first_day:
-            low = F.when(low.isNotNull(), F.greatest(low, F.lit(first_day)))
     rates = currency_rates(order_currencies(orders), snapshot)
     base = snapshot.select("base_code").scalar()
     bounded = rates.select(

@@ -17,6 +17,7 @@ from saleswh.operators import files
 from saleswh.operators.tables import VersionedTable
 from saleswh.plans import dims, fact, fx, quality, views
 from saleswh.plans.star import Star
+from saleswh.session import use_exact_decimals
 from saleswh.sources import conform, generators
 from saleswh.sources.bundle import Sources
 
@@ -26,6 +27,7 @@ class Warehouse:
 
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
+        use_exact_decimals(spark)
         self.root = root.rstrip("/")
 
         def table(name: str, columns: StructType, **options: str) -> VersionedTable:
@@ -79,7 +81,6 @@ class Warehouse:
         sources: Sources,
         loaded_at: datetime,
         run_date: date | None = None,
-        first_day: date | None = None,
     ) -> None:
         """Rates for ``run_date`` alone, else for every order day."""
         rows = fx.fx_rate_rows(
@@ -88,7 +89,6 @@ class Warehouse:
             sources.fx_provider,
             loaded_at,
             run_date,
-            first_day,
         )
         fx.upsert_fx_rates(self.dim_fx_rate, rows)
 
@@ -143,7 +143,6 @@ class Warehouse:
         sources: Sources,
         as_of: date,
         run_date: date | None = None,
-        first_day: date | None = None,
         years_back: int = 5,
         days_ahead: int = 365,
         name_candidates: Sequence[str] = conform.CUSTOMER_NAME,
@@ -153,7 +152,7 @@ class Warehouse:
         moment = loaded_at or datetime.now(timezone.utc)
         self.create_schema(as_of, years_back, days_ahead)
         self.load_dimensions(sources, name_candidates)
-        self.load_fx_rates(sources, moment, run_date, first_day)
+        self.load_fx_rates(sources, moment, run_date)
         refreshed = self.load_fact(sources, moment)
         star = self.star()
         views.register_views(star.fact, star.dim_product)

@@ -64,18 +64,19 @@ EUR_BASED = f"""CASE currency WHEN 'USD' THEN 1.0
     ELSE 1.0 END"""
 
 
-def _fx(first_day: object) -> str:
-    return f"""{CURRENCIES},
-fx_days AS (
-  SELECT CAST(unnest(generate_series(
-           greatest(CAST(CAST(min(ts) AS DATE) AS TIMESTAMP), TIMESTAMP '{first_day} 00:00:00'),
+ORDER_DAYS = """SELECT CAST(unnest(generate_series(CAST(CAST(min(ts) AS DATE) AS TIMESTAMP),
            CAST(CAST(max(ts) AS DATE) AS TIMESTAMP), INTERVAL 1 DAY)) AS DATE) AS fx_date
-  FROM orders_src),
+  FROM orders_src"""
+
+
+def _fx(days: str) -> str:
+    return f"""{CURRENCIES},
+fx_days AS ({days}),
 fx AS (SELECT fx_date, currency, CAST({USD_BASED} AS DECIMAL(18,8)) AS rate FROM fx_days CROSS JOIN currencies)"""
 
 
-RETAIL_FX = _fx(retail.RETAIL_FIRST_FX_DAY)
-EVENT_FX = _fx(retail.EVENTS_FIRST_FX_DAY)
+RETAIL_FX = _fx(ORDER_DAYS)
+EVENT_FX = _fx(f"SELECT DATE '{retail.EVENTS_RUN_DATE}' AS fx_date")
 
 
 def _facts(name: str, orders: str = "orders_src", fx: str = "fx", keep_copies: bool = False) -> str:

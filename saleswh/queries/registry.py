@@ -21,7 +21,7 @@ from saleswh.operators.merge import insert_if_absent, merge_rows
 from saleswh.plans import dims, fact, fx, metrics, quality, sql, views
 from saleswh.plans.pipeline import Warehouse
 from saleswh.plans.star import Star
-from saleswh.session import shared_dir
+from saleswh.session import shared_dir, use_exact_decimals
 from saleswh.sources import conform, generators, retail
 from saleswh.sources.bundle import Sources
 
@@ -54,6 +54,7 @@ def _loaded(spark: SparkSession, folder: str, kind: str) -> tuple[Warehouse, Sta
 
 def _sources(spark: SparkSession, folder: str, kind: str) -> Sources:
     """The source readers, so that a session looks up each file's schema once."""
+    use_exact_decimals(spark)
     key = (spark.sparkContext.applicationId, folder, kind)
     if key not in _readers:
         read = retail.retail_sources if kind == "retail" else retail.event_sources
@@ -75,7 +76,6 @@ def load_retail(spark: SparkSession, folder: str, root: str) -> Warehouse:
         _sources(spark, folder, "retail"),
         as_of=RETAIL_AS_OF,
         years_back=RETAIL_YEARS_BACK,
-        first_day=retail.RETAIL_FIRST_FX_DAY,
         loaded_at=FIRST_LOAD,
     )
     return warehouse
@@ -86,7 +86,7 @@ def load_events(spark: SparkSession, folder: str, root: str) -> Warehouse:
     warehouse.run(
         _sources(spark, folder, "events"),
         as_of=EVENTS_AS_OF,
-        first_day=retail.EVENTS_FIRST_FX_DAY,
+        run_date=retail.EVENTS_RUN_DATE,
         loaded_at=FIRST_LOAD,
     )
     return warehouse
@@ -166,14 +166,12 @@ def _dim_date(spark: SparkSession, sources: Sources) -> DataFrame:
 
 
 def _fx_rows(sources: Sources, run_date: date | None = None) -> DataFrame:
-    first_day = None if run_date else retail.RETAIL_FIRST_FX_DAY
     return fx.fx_rate_rows(
         conform.orders(sources.orders),
         sources.fx_snapshot,
         sources.fx_provider,
         FIRST_LOAD,
         run_date,
-        first_day,
     )
 
 

@@ -6,14 +6,19 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+EXACT_DECIMALS = "spark.sql.decimalOperations.allowPrecisionLoss"
+
 # Result-relevant settings first, then the adaptive planning ones.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
+    # Products of decimals keep their digits instead of giving up decimals.
+    "spark.sql.decimalOperations.allowPrecisionLoss": "false",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Recording the Python line of every column call makes building plans slow.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
@@ -30,6 +35,11 @@ def build_session(app: str = "saleswh", master: str | None = None, **extra: str)
     return builder.getOrCreate()
 
 
+def use_exact_decimals(spark: SparkSession) -> None:
+    """For sessions made elsewhere: without this, amounts would be rounded twice."""
+    spark.conf.set(EXACT_DECIMALS, SETTINGS[EXACT_DECIMALS])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 

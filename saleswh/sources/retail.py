@@ -21,9 +21,8 @@ PROVIDER = "rates.example"
 USD_QUOTES = {"USD": 1.0, "EUR": 0.8606, "GBP": 0.7445}
 EUR_QUOTES = {"EUR": 1.0, "USD": 1.162, "GBP": 0.865, "ABC": 0.0}
 
-# Days from which rates are held; earlier sales take the fallback rate.
-RETAIL_FIRST_FX_DAY = date(1998, 1, 1)
-EVENTS_FIRST_FX_DAY = date(2024, 1, 11)
+# The events are loaded with the rates of one day; sales of other days take the fallback rate.
+EVENTS_RUN_DATE = date(2024, 1, 11)
 
 # Windows the reports run over.
 RETAIL_WINDOW = ("1996-01-01", "2000-12-31")

@@ -124,13 +124,14 @@ def test_sums_are_the_same_whichever_side_is_reduced_first(spark):
             assert fits_broadcast(dimension) is (threshold != "-1")
             results.append(
                 [
-                    rows(sum_with_dimension(sales, dimension, "k", by, ["amount"], how))
+                    (found.schema, rows(found))
                     for by in (["c"], ["day"], ["c", "day"], [])
                     for how in ("inner", "left")
+                    for found in [sum_with_dimension(sales, dimension, "k", by, ["amount"], how)]
                 ]
             )
         finally:
             spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert results[0] == results[1]
     total = sum(row["amount"] for row in sales.collect())
-    assert results[0][7] == [(total,)] and results[0][6][0][0] < total
+    assert results[0][7][1] == [(total,)] and results[0][6][1][0][0] < total

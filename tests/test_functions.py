@@ -68,10 +68,14 @@ def test_amount_is_rounded_once(spark):
     assert _amount(spark, "1", "0.1", "0.00050000")[1] == Decimal("0.0001")
 
 
-def test_amount_at_the_edge_of_the_exact_range(spark):
+def test_large_amounts_and_rates_are_exact(spark):
     found = _amount(spark, "99999.9999", "99999.9999", "999.99999999")
-    assert found[0] == Decimal("99999999.8990")
-    assert found[1] == Decimal("9999999979900.0000")
+    assert found == (Decimal("99999999.8990"), Decimal("9999999979900.0000"))
+    found = _amount(spark, "3", "150000000.1234", "20000")
+    assert found == (Decimal("3000000002468.0000"), Decimal("9000000007404.0000"))
+    assert _amount(spark, "7", "99999999999.9999", "1.16198")[1] == Decimal("813385999999.9992")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        _amount(spark, "1", "99999999999999", "2")
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -78,17 +78,14 @@ def test_no_orders_no_rates(spark):
     orders = _orders(spark, ("2024-01-01", "EUR")).filter("false")
     snapshot = retail.snapshot(spark, "USD", {"EUR": 0.8})
     assert fx.fx_rate_rows(orders, snapshot, "p", date(2024, 1, 1)).isEmpty()
-    assert fx.fx_rate_rows(orders, snapshot, "p", date(2024, 1, 1), first_day=date(2023, 1, 1)).isEmpty()
     assert rows(conform.order_date_range(orders)) == [(None, None)]
 
 
-def test_first_rate_day(spark):
+def test_every_day_between_orders_has_rates(spark):
     orders = _orders(spark, ("2024-01-01", "EUR"), ("2024-01-04", "EUR"))
     snapshot = retail.snapshot(spark, "USD", {"EUR": 0.8})
-    found = fx.fx_rate_rows(orders, snapshot, "p", date(2024, 1, 5), first_day=date(2024, 1, 3))
-    assert sorted({row[0] for row in rows(found)}) == [date(2024, 1, 3), date(2024, 1, 4)]
-    late = fx.fx_rate_rows(orders, snapshot, "p", date(2024, 1, 5), first_day=date(2024, 2, 1))
-    assert late.isEmpty()
+    found = fx.fx_rate_rows(orders, snapshot, "p", date(2024, 1, 5))
+    assert sorted({row[0] for row in rows(found)}) == [date(2024, 1, n) for n in range(1, 5)]
 
 
 def test_codes_that_differ_in_case_do_not_double_a_rate(spark):
