@@ -205,7 +205,8 @@ def _repeats_in_shards(contents: DataFrame) -> DataFrame:
         size = 0
 
         def shard(rows: list[tuple[int, int, int, int, bytes]]) -> pa.RecordBatch:
-            text = np.zeros(sum(len(r[4]) + 1 for r in rows), np.uint16)
+            # UTF-8 has no byte above F4, so one more still fits, and 0 is free to part the contents.
+            text = np.zeros(sum(len(r[4]) + 1 for r in rows), np.uint8)
             at, starts = 0, []
             for row in rows:
                 text[at : at + len(row[4])] = np.frombuffer(row[4], np.uint8)
@@ -267,8 +268,20 @@ def _repeats_of_windows(contents: DataFrame) -> DataFrame:
         "window binary, part_key long, part_content long, start int, copies long",
     )
     again = windows.groupBy("window").agg(F.sum("copies").alias("n")).filter("n > 1").select("window")
-    return windows.join(again, "window").select(
-        "part_key", "part_content", "start", (F.col("start") + 1).cast("int").alias("stop")
+    # A part has 32 windows at most; neighbours become one span before they meet the texts again.
+    starts = (
+        windows.join(again, "window").groupBy("part_key", "part_content").agg(F.collect_set("start").alias("starts"))
+    )
+    edges = F.arrays_zip(
+        F.array_sort(F.filter("starts", lambda at: ~F.array_contains("starts", at - 1))).alias("start"),
+        F.array_sort(F.filter("starts", lambda at: ~F.array_contains("starts", at + 1))).alias("last"),
+    )
+    spans = starts.select("part_key", "part_content", F.explode(edges).alias("span"))
+    return spans.select(
+        "part_key",
+        "part_content",
+        F.col("span.start").alias("start"),
+        (F.col("span.last") + 1).cast("int").alias("stop"),
     )
 
 

@@ -90,29 +90,32 @@ def _induce_by_place(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, a
     n = len(text)
     counts = np.bincount(text, minlength=alphabet)
     ends = np.cumsum(counts)
-    chars, is_small = text.tolist(), smaller.tolist()
-    order = [-1] * n
+    # The character before each place, for L-type and for S-type places; -1 where there is none. Place n is no place.
+    before = np.concatenate(([-1], text[:-1], [-1]))
+    small_before = np.concatenate(([False], smaller[:-1], [False]))
+    order = [n] * n
     tail = ends.tolist()
-    for place in reversed(seeds.tolist()):
-        c = chars[place]
+    for place, c in zip(reversed(seeds.tolist()), text[seeds[::-1]].tolist(), strict=True):
         tail[c] -= 1
         order[tail[c]] = place
     head = (ends - counts).tolist()
-    c = chars[n - 1]
+    c = int(text[-1])
     order[head[c]] = n - 1
     head[c] += 1
+    larger_before = np.where(small_before, -1, before).tolist()
     for place in order:
-        if place > 0 and not is_small[place - 1]:
-            c = chars[place - 1]
-            order[head[c]] = place - 1
-            head[c] += 1
+        c = larger_before[place]
+        if c >= 0:
+            at = head[c]
+            order[at] = place - 1
+            head[c] = at + 1
     tail = ends.tolist()
-    for at in range(n - 1, -1, -1):
-        place = order[at]
-        if place > 0 and is_small[place - 1]:
-            c = chars[place - 1]
-            tail[c] -= 1
-            order[tail[c]] = place - 1
+    smaller_before = np.where(small_before, before, -1).tolist()
+    for place in reversed(order):
+        c = smaller_before[place]
+        if c >= 0:
+            tail[c] = at = tail[c] - 1
+            order[at] = place - 1
     return np.array(order, np.int64)
 
 
