@@ -69,24 +69,23 @@ def orphan_items(items: DataFrame, product_keys: DataFrame) -> DataFrame:
 
 
 def upsert_fact(table: VersionedTable, rows: DataFrame, loaded_at: datetime) -> None:
-    """Overwrites facts by order item, rewriting only the months it touches.
+    """Overwrites facts by order item, rewriting only the months in which something changes.
 
-    ``rows`` is read several times, so pass a written table. Touched months are
-    those of the new rows and those that rows leave because their date changed.
+    ``rows`` is read several times, so pass a written table. Such months hold a
+    new or changed row, or lose one because its date changed. A load that
+    changes nothing writes nothing.
     """
     updates = rows.withColumn(FACT_PARTITION, keys.month_of_key()).withColumn(
         "created_at", F.lit(loaded_at).cast("timestamp")
     )
     current = table.read()
     month = F.col(FACT_PARTITION)
-    touched = _months(updates)
-    left_behind = current.filter(~month.isin(touched)).join(
-        updates.select("order_item_id"), "order_item_id", "left_semi"
-    )
-    touched += _months(left_behind)
+    touched = _changed_months(current, updates)
+    if not touched:
+        return
     merged = merge_rows(
         current.filter(month.isin(touched)),
-        updates,
+        updates.filter(month.isin(touched)),
         ["order_item_id"],
         kept=["sales_item_sk", "created_at"],
     )
@@ -97,9 +96,22 @@ def upsert_fact(table: VersionedTable, rows: DataFrame, loaded_at: datetime) ->
     table.replace(numbered.sortWithinPartitions(FACT_PARTITION, "date_key"), touched)
 
 
-def _months(df: DataFrame) -> list[int]:
-    """The months present: at most twelve per year of sales."""
-    return [row[0] for row in df.select(FACT_PARTITION).distinct().collect()]
+def _changed_months(current: DataFrame, updates: DataFrame) -> list[int]:
+    """Months that gain, change or lose a row: at most twelve per year of sales.
+
+    All columns that a load sets are compared as one struct; a stored item that
+    differs, or moves, names both its old and its new month.
+    """
+    compared = [name for name in updates.columns if name not in ("created_at", "order_item_id")]
+    stored = current.select(
+        "order_item_id", F.struct(*compared).alias("_stored"), F.col(FACT_PARTITION).alias("_stored_month")
+    )
+    joined = updates.select("order_item_id", F.struct(*compared).alias("_new"), FACT_PARTITION).join(
+        stored, "order_item_id", "left"
+    )
+    changed = joined.filter(~F.col("_new").eqNullSafe(F.col("_stored")))
+    months = changed.select(F.explode(F.array(FACT_PARTITION, "_stored_month")).alias("month"))
+    return [row[0] for row in months.filter("month IS NOT NULL").distinct().collect()]
 
 
 def hourly_sales(fact: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> DataFrame:

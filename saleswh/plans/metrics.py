@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from saleswh.functions import keys, labels
 from saleswh.functions.money import is_fx_fallback, is_iso
-from saleswh.operators.joins import sum_with_dimension
+from saleswh.operators.joins import fits_broadcast, sum_with_dimension
 from saleswh.operators.series import pivot_sum, running_total, trailing_mean
 from saleswh.plans.star import Star
 from saleswh.plans.views import sales_base
@@ -196,11 +196,21 @@ def monthly_top_rows(star: Star, start: str, end: str, top: int = 5) -> DataFram
 
 
 def _by_customer(star: Star, start: str, end: str, *by: str) -> DataFrame:
-    """Revenue of clean sales, by columns of the sale or the customer."""
-    name = labels.or_unknown(F.col("full_name")).alias("named")
+    """Revenue of clean sales, by columns of the sale or the customer.
+
+    Products only have to exist: a small list of their keys is broadcast, and a
+    large one meets sales that have been summed per product and customer.
+    """
+    name = F.coalesce(labels.or_unknown(F.col("full_name")), F.lit("Unknown")).alias("named")
     people = star.dim_customer.select("customer_id", name, F.col("country").alias("raw_country"))
-    sales = _measures(star.sales(start, end))
-    return sum_with_dimension(sales, people, "customer_id", by, ["revenue"], how="left")
+    known = star.dim_product.select("product_id")
+    sales = _iso_sales(star, start, end)
+    if not fits_broadcast(known):
+        own = [column for column in by if column in sales.columns]
+        sales = sales.groupBy("product_id", "customer_id", *own).agg(F.sum("revenue").alias("revenue"))
+    sales = sales.join(known, "product_id", "left_semi")
+    totals = sum_with_dimension(sales, people, "customer_id", by, ["revenue"], how="left")
+    return totals.withColumn("revenue", F.col("revenue").cast("decimal(28,4)"))
 
 
 def top_customers(star: Star, start: str, end: str, limit: int = 10) -> DataFrame:

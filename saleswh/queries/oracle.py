@@ -423,3 +423,9 @@ FROM first_batch f FULL OUTER JOIN second_batch s ON s.order_item_id = f.order_i
     "dq_duplicates": "SELECT l_orderkey * 10 + l_linenumber AS order_item_id, COUNT(*) AS row_count "
     "FROM lineitem GROUP BY 1 HAVING COUNT(*) > 1",
 }
+
+# The matrix has a column for each of the five categories, named by the data.
+ORACLE["monthly_top5_matrix"] = (
+    "SELECT month, coalesce(COLUMNS(* EXCLUDE (month)), 0) FROM "
+    f"(PIVOT ({ORACLE['monthly_top5_rows']}) ON product_category USING sum(revenue) GROUP BY month)"
+)

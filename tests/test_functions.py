@@ -146,3 +146,8 @@ def test_title_case_agrees_with_python(spark):
     words = ["o'neil", "SOUTH korea", "a1b2", "x_y-z", "été", ""]
     df = spark.createDataFrame([(word,) for word in words], "x string")
     assert [row[0] for row in df.select(labels.title_case(F.col("x"))).collect()] == [w.title() for w in words]
+
+
+def test_outer_blanks_of_any_kind_are_removed(spark):
+    df = spark.createDataFrame([("\u00a0~ unknown 7\u2003", "\u00a0south korea\u3000")], "n string, c string")
+    assert df.select(labels.customer_label(F.col("n"), F.col("c"))).first()[0] == "Unknown Customer — South Korea"

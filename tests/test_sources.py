@@ -108,3 +108,13 @@ def test_calendar(spark):
 def test_minutes(spark):
     found = sorted(rows(generators.minutes(spark)))
     assert found == [(minute, minute // 60, minute % 60) for minute in range(1440)]
+
+
+def test_other_snapshot_shape(spark, tmp_path):
+    path = tmp_path / "rates.json"
+    path.write_text('{"base": "eur", "date": "2024-05-01", "rates": {"USD": 1.25, "EUR": 1}}')
+    found = read_snapshot(spark, str(path)).first()
+    assert (found.base_code, found.conversion_rates) == ("EUR", {"USD": 1.25, "EUR": 1.0})
+    path.write_text('{"result": "error", "base": "eur", "rates": {"USD": 1.25}}')
+    with pytest.raises(ValueError, match="success"):
+        read_snapshot(spark, str(path))
