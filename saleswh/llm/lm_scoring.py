@@ -152,8 +152,8 @@ def _training_sample(training: DataFrame, corpus: Corpus) -> tuple[DataFrame, in
     share = min(1.0, LEAST_TRAINING_TOKENS / max(corpus.tokens, 1) + TRAINING_SHARE)
     workers = max(1, round(share * corpus.tokens / TOKENS_PER_WORKER))
     chosen = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
-    sample = training.filter(chosen).select("text", F.xxhash64("doc_id", "text").alias("_deal"))
-    return sample.repartition(workers, "_deal").select("text"), workers
+    # Dealt one by one, so copies of a document do not meet at one worker; every worker sends back all parameters.
+    return training.filter(chosen).select("text").repartition(workers), workers
 
 
 CONTEXTS = 64
