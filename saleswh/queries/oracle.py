@@ -429,3 +429,6 @@ ORACLE["monthly_top5_matrix"] = (
     "SELECT month, coalesce(COLUMNS(* EXCLUDE (month)), 0) FROM "
     f"(PIVOT ({ORACLE['monthly_top5_rows']}) ON product_category USING sum(revenue) GROUP BY month)"
 )
+
+# The stored snapshot holds the same quotes as the one in memory.
+ORACLE["fx_snapshot_file"] = ORACLE["fx_cross_rates"]

@@ -7,6 +7,7 @@ throughout and becomes double only in the last projection.
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Callable
 from datetime import date, datetime
@@ -16,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from saleswh.operators.files import write_once
+from saleswh.operators.files import replace_text, write_once
 from saleswh.operators.merge import insert_if_absent, merge_rows
 from saleswh.plans import dims, fact, fx, metrics, quality, sql, views
 from saleswh.plans.pipeline import Warehouse
@@ -24,6 +25,7 @@ from saleswh.plans.star import Star
 from saleswh.session import shared_dir, use_exact_decimals
 from saleswh.sources import conform, generators, retail
 from saleswh.sources.bundle import Sources
+from saleswh.sources.fx_snapshot import read_snapshot
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -188,6 +190,16 @@ def _fx_cross_rates(spark: SparkSession, sources: Sources) -> DataFrame:
     return fx.currency_rates(conform.order_currencies(conform.orders(sources.orders)), quoted_in_eur)
 
 
+def _fx_snapshot_file(spark: SparkSession, sources: Sources) -> DataFrame:
+    """Rates of the order currencies from a stored snapshot; the file is always the same one."""
+    path = f"{shared_dir(spark)}/saleswh-snapshot.json"
+    rates = {"base": "EUR", "date": "2024-01-01", "rates": retail.EUR_QUOTES}
+    replace_text(spark, path, json.dumps(rates))
+    return fx.currency_rates(
+        conform.order_currencies(conform.orders(sources.orders)), read_snapshot(spark, path)
+    )
+
+
 def _fx_upsert(spark: SparkSession, sources: Sources) -> DataFrame:
     """A full back-fill, then one day again from a snapshot with another base."""
     daily = fx.fx_rate_rows(
@@ -360,6 +372,7 @@ QUERIES: dict[str, Query] = {
     "dim_fx_rate": _on_sources(_dim_fx_rate),
     "fx_single_date": _on_sources(_fx_single_date),
     "fx_cross_rates": _on_sources(_fx_cross_rates),
+    "fx_snapshot_file": _on_sources(_fx_snapshot_file),
     "fx_upsert": _on_sources(_fx_upsert),
     "fact_sales_item": _on_star(lambda star: _fact_columns(star.fact)),
     "fact_upsert": _on_sources(_fact_upsert),
