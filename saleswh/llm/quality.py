@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleswh.llm.common import BLANKS, kept
+from saleswh.operators.files import write_once
 
 BASE_COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 # Fixed values of the base verdict.
@@ -208,12 +209,10 @@ def quality_verdicts(documents: DataFrame, least: float = 0.5) -> DataFrame:
 def drop_low_quality(documents: DataFrame, least: float = 0.5) -> DataFrame:
     """The rows of ``documents`` that are kept, all columns as they were.
 
-    The texts are read twice, for the model and for the verdict, so that they
-    need not be moved.
+    Counts and votes are found once and stored beside the rows, for the model
+    and for the verdict.
     """
     own = documents.select(F.struct(*documents.columns).alias("_row"), F.col("text").alias("text"))
-    model = fit_label_model(kept(with_votes(documents.select("text")).drop("text")))
-    # The row number keeps the optimizer from writing all features into the filter, again for each use.
-    voted = with_votes(own).withColumn("_at", F.monotonically_increasing_id())
-    good = voted.filter(~base_failed() & (model.posterior() >= least) & (F.col("_at") >= 0))
-    return good.select("_row.*")
+    voted, _ = write_once(with_votes(own).drop("text"), "quality-votes")
+    model = fit_label_model(voted)
+    return voted.filter(~base_failed() & (model.posterior() >= least)).select("_row.*")
