@@ -6,8 +6,9 @@ are grouped by their ending, and within a group the counts decide. So a score
 is the sum over its tokens of the class given the state, the word given state
 and class or, for rare words, the word given its group.
 
-Workers train copies of the model on parts of a sample that grows with the
-corpus; the copies are averaged after each round. Counts of rare words, which
+All training documents are dealt to workers, which train copies of the model in
+rounds: each document is learned from in one of them, and the copies are averaged
+after each round. Counts of rare words, which
 may be any number, are joined by word; only the counts of a fixed number of
 frequent words go to all tasks.
 """
@@ -22,7 +23,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark import TaskContext
+from pyspark import Broadcast, TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -34,9 +35,8 @@ FREQUENT_WORDS = 262_144  # words whose counts every task holds
 ENDINGS = 64
 END = 0  # the hash of the end token; no word hashes to it in practice
 SMOOTHING = 0.1
-#: Training reads this many tokens and a share of the rest, so it grows with the corpus.
-LEAST_TRAINING_TOKENS, TRAINING_SHARE = 1_500_000, 0.04
-TOKENS_PER_WORKER, ROUNDS = 600_000, 3
+TOKENS_PER_WORKER, ROUNDS = 4_000_000, 3
+PARAMETER_BLOCKS = 64
 
 
 @dataclass(frozen=True)
@@ -147,44 +147,74 @@ def word_classes(corpus: Corpus, followers: np.ndarray) -> recurrent.Symbols:
     return recurrent.Symbols(of_class, in_class)
 
 
-def _training_sample(training: DataFrame, corpus: Corpus) -> tuple[DataFrame, int]:
-    """Whole training documents chosen by hash, dealt to workers, and the number of workers."""
-    share = min(1.0, LEAST_TRAINING_TOKENS / max(corpus.tokens, 1) + TRAINING_SHARE)
-    workers = max(1, round(share * corpus.tokens / TOKENS_PER_WORKER))
-    chosen = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1_000_000)) < F.lit(int(share * 1_000_000))
-    # Dealt one by one, so copies of a document do not meet at one worker; every worker sends back all parameters.
-    return training.filter(chosen).select("text").repartition(workers), workers
+def training_symbols(training: DataFrame, sent: Broadcast[Corpus]) -> DataFrame:
+    """``turn, symbols``: each training document as 16-bit symbols, and the round that learns from it.
+
+    Documents are dealt one by one to workers of about ``TOKENS_PER_WORKER``
+    tokens, so copies of a document do not meet at one worker.
+    """
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        frequent = Frequent(sent.value)
+        row = TaskContext.get().partitionId()
+        for batch in batches:
+            words, edges, ending = tokens_of(batch.column(0))
+            symbol = symbols_of(frequent.rank(words), ending).astype("<u2").tobytes()
+            n = len(edges) - 1
+            of_text = [symbol[2 * a : 2 * b] for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array((row + np.arange(n)) % ROUNDS, pa.int32()), pa.array(of_text, pa.binary())],
+                names=["turn", "symbols"],
+            )
+            row += n
+
+    workers = max(1, round(sent.value.tokens / TOKENS_PER_WORKER))
+    return kept(per_batch(training.select("text"), number, "turn int, symbols binary").repartition(workers))
 
 
 CONTEXTS = 64
 
 
-def _followers(sample: DataFrame, corpus: Corpus) -> np.ndarray:
+def _flat_symbols(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The symbols of all texts one after the other, and which of them begin a text."""
+    texts = texts.to_pylist()
+    symbol = np.frombuffer(b"".join(texts), "<u2")
+    first = np.zeros(len(symbol), bool)
+    first[np.cumsum([0, *(len(x) // 2 for x in texts)])[:-1]] = True
+    return symbol, first
+
+
+def _followers(texts: DataFrame) -> np.ndarray:
     """How often each symbol stands behind each of the most frequent words; a table of fixed size."""
-    sent = sample.sparkSession.sparkContext.broadcast(corpus)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        frequent = Frequent(sent.value)
         table = np.zeros(CONTEXTS * SYMBOL_WORDS, np.int64)
         for batch in batches:
-            words, _, ending = tokens_of(batch.column(0))
-            symbol = symbols_of(frequent.rank(words), ending)
+            symbol = _flat_symbols(batch.column(0))[0].astype(np.int64)
             behind = (symbol[:-1] < CONTEXTS) & (symbol[1:] < SYMBOL_WORDS)
             table += np.bincount(symbol[:-1][behind] * SYMBOL_WORDS + symbol[1:][behind], minlength=len(table))
         at = np.flatnonzero(table)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(table[at])], names=["at", "n"])
 
-    found = per_batch(sample, count, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    found = per_batch(texts.select("symbols"), count, "at long, n long")
+    found = found.groupBy("at").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(CONTEXTS * SYMBOL_WORDS, np.int64)
     out[found.column("at").to_numpy()] = found.column("n").to_numpy()
     return out.reshape(CONTEXTS, SYMBOL_WORDS).T
 
 
+def _mean_block(copies: pa.Table) -> pa.Table:
+    """The mean of one block of parameters over all workers."""
+    values = sum(np.frombuffer(x, "<f4").astype(np.float64) for x in copies.column("values").to_pylist())
+    mean = (values / copies.num_rows).astype("<f4").tobytes()
+    return pa.table({"block": copies.column("block").slice(0, 1), "values": pa.array([mean], pa.binary())})
+
+
 def train_model(training: DataFrame, corpus: Corpus) -> tuple[recurrent.Parameters, recurrent.Symbols]:
     """Rounds of training on all workers, each followed by averaging the parameters where they are."""
-    sample, _ = _training_sample(training, corpus)
-    sample = kept(sample)
-    known = word_classes(corpus, _followers(sample, corpus))
+    spark = training.sparkSession
+    texts = training_symbols(training, spark.sparkContext.broadcast(corpus))
+    known = word_classes(corpus, _followers(texts))
     n = SYMBOL_WORDS // recurrent.CLASS_WORDS
     symbol_count = np.zeros(SYMBOL_WORDS + ENDINGS)
     symbol_count[: min(SYMBOL_WORDS, len(corpus.counts))] = corpus.counts[:SYMBOL_WORDS]
@@ -194,36 +224,26 @@ def train_model(training: DataFrame, corpus: Corpus) -> tuple[recurrent.Paramete
     word_share[known.of_class[:SYMBOL_WORDS], known.in_class[:SYMBOL_WORDS]] = symbol_count[:SYMBOL_WORDS]
     word_share /= np.maximum(word_share.sum(axis=1, keepdims=True), 1e-9)
     p = recurrent.first_parameters(class_share / class_share.sum(), word_share, len(symbol_count))
-    spark = training.sparkSession
     for turn in range(ROUNDS):
-        sent = spark.sparkContext.broadcast((p, known, corpus))
+        sent = spark.sparkContext.broadcast((p, known))
 
         def learn(batches: Iterator[pa.RecordBatch], turn: int = turn, sent=sent) -> Iterator[pa.RecordBatch]:
-            now, own, about = sent.value
-            frequent = Frequent(about)
-            parts, starts = [], []
-            for batch in batches:  # about TOKENS_PER_WORKER tokens
-                words, edges, ending = tokens_of(batch.column(0))
-                parts.append(symbols_of(frequent.rank(words), ending))
-                first = np.zeros(len(words), bool)
-                first[edges[:-1]] = True
-                starts.append(first)
+            parts = [_flat_symbols(batch.column(0)) for batch in batches]  # about TOKENS_PER_WORKER / ROUNDS tokens
             if parts:
-                trained = recurrent.train(
-                    now, own, np.concatenate(parts), np.concatenate(starts), rate=0.01 / (1 + turn)
-                )
-                values = recurrent.flat(trained).astype(np.float64)
+                symbols, starts = (np.concatenate(x) for x in zip(*parts, strict=True))
+                trained = recurrent.train(*sent.value, symbols, starts, rate=0.01 / (1 + turn))
+                blocks = np.array_split(recurrent.flat(trained).astype("<f4"), PARAMETER_BLOCKS)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.arange(len(values))), pa.array(values)], names=["at", "value"]
+                    [pa.array(range(len(blocks)), pa.int32()), pa.array([x.tobytes() for x in blocks], pa.binary())],
+                    names=["block", "values"],
                 )
 
-        found = (
-            per_batch(sample, learn, "at long, value double").groupBy("at").agg(F.avg("value").alias("value")).toArrow()
-        )
+        own = texts.filter(F.col("turn") == turn).select("symbols")
+        copies = per_batch(own, learn, "block int, values binary")
+        found = copies.groupBy("block").applyInArrow(_mean_block, "block int, values binary").toArrow()
         if found.num_rows:
-            values = np.zeros(found.num_rows)
-            values[found.column("at").to_numpy()] = found.column("value").to_numpy()
-            p = recurrent.unflat(values, p)
+            blocks = dict(zip(found.column("block").to_pylist(), found.column("values").to_pylist(), strict=True))
+            p = recurrent.unflat(np.frombuffer(b"".join(blocks[i] for i in sorted(blocks)), "<f4"), p)
     return p, known
 
 
@@ -245,7 +265,7 @@ def score_documents(documents: DataFrame) -> DataFrame:
     training = own.filter(~F.col("held_out"))
     counts = kept(count_words(training))
     corpus = corpus_of(counts)
-    p, known = train_model(training.select("doc_id", "text"), corpus)
+    p, known = train_model(training.select("text"), corpus)
     sent = documents.sparkSession.sparkContext.broadcast((p, known, corpus))
     group_total = corpus.group_tokens + SMOOTHING * (corpus.group_distinct + 1)
 

@@ -8,11 +8,14 @@ step. States are carried from window to window until a text ends.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 
 HIDDEN = 24
 CLASS_WORDS = 64
 WINDOW = 16
+LANES, UPDATES = (8, 256), 256
 Parameters = dict[str, np.ndarray]
 
 
@@ -170,6 +173,7 @@ def gradients(
         d_states[own] += d @ p["word_out"][c].T
     d_states = d_states.reshape(steps, lanes, k)
     d_h = np.zeros((lanes, k), np.float32)
+    d_input = np.empty((steps, lanes, 3 * k), d_states.dtype)
     for t in range(steps - 1, -1, -1):
         update, reset, held, new = kept[t]
         old = before[t]
@@ -180,17 +184,26 @@ def gradients(
         d_gates = np.concatenate([d_update, d_reset], axis=1)
         g["recurrent"] += old.T @ d_gates
         g["candidate"] += held.T @ d_new
-        np.add.at(g["input"], symbols[t], np.concatenate([d_gates, d_new], axis=1))
+        d_input[t] = np.concatenate([d_gates, d_new], axis=1)
         d_h = d_h * (1 - update) + d_gates @ p["recurrent"].T + d_held * reset + d_states[t]
         d_h = np.where(first[t][:, None], np.float32(0), d_h)
+    order = np.argsort(flat_symbols, kind="stable")
+    found = flat_symbols[order]
+    starts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
+    g["input"][found[starts]] = np.add.reduceat(d_input.reshape(-1, 3 * k)[order], starts)
     return loss / count, g, h
 
 
 def train(
-    p: Parameters, known: Symbols, symbols: np.ndarray, starts: np.ndarray, lanes: int = 64, rate: float = 0.01
+    p: Parameters, known: Symbols, symbols: np.ndarray, starts: np.ndarray, lanes: int | None = None, rate: float = 0.01
 ) -> Parameters:
-    """One pass over texts laid out one after the other in ``lanes``; ``starts`` marks first symbols."""
+    """One pass over texts laid out one after the other in ``lanes``; ``starts`` marks first symbols.
+
+    Unless given, lanes are as many as leave about ``UPDATES`` updates, within ``LANES``.
+    """
     p = {name: value.copy() for name, value in p.items()}
+    if lanes is None:
+        lanes = min(max(len(symbols) // (WINDOW * UPDATES), LANES[0]), LANES[1])
     long = -(-len(symbols) // lanes)
     if not long:
         return p
@@ -206,12 +219,21 @@ def train(
     updates = -(-long // WINDOW)
     for at in range(0, long, WINDOW):
         _, g, h = gradients(p, known, h, rows[at : at + WINDOW], real[at : at + WINDOW], first[at : at + WINDOW])
-        size = np.sqrt(sum(float((x * x).sum()) for x in g.values()))
+        # Plain floats: a numpy scalar of 64 bits would widen every array below.
+        size = math.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
         n += 1
-        speed = rate * (1 - 0.9 * n / updates) * np.sqrt(1 - 0.99**n) / (1 - 0.9**n)
+        speed = rate * (1 - 0.9 * n / updates) * math.sqrt(1 - 0.99**n) / (1 - 0.9**n)
         for name, value in g.items():
             value *= min(1.0, 1.0 / (size + 1e-12))
-            mean[name] += 0.1 * (value - mean[name])
-            square[name] += 0.01 * (value * value - square[name])
-            p[name] -= (speed * mean[name] / (np.sqrt(square[name]) + 1e-6)).astype(np.float32)
+            mean[name] *= 0.9
+            mean[name] += 0.1 * value
+            value *= value
+            value *= 0.01
+            square[name] *= 0.99
+            square[name] += value
+            np.sqrt(square[name], out=value)
+            value += 1e-6
+            np.divide(mean[name], value, out=value)
+            value *= speed
+            p[name] -= value
     return p

@@ -6,6 +6,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
 from saleswh.llm import lm_scoring, quality, recurrent, url_filter
 from saleswh.llm.registry import URL_RULES
@@ -80,6 +81,26 @@ def test_base_scores_are_exact_and_the_model_learns(spark, monkeypatch):
     assert lm_scoring.score_documents(documents(spark, [])).count() == 0
 
 
+def test_every_training_document_is_learned_from_once(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "TOKENS_PER_WORKER", 4000)
+    # More than 1.5 million training tokens, each text with its own most frequent words.
+    rows = [*odd_rows(), *((i, " ".join(words(i, 16000))) for i in range(110))]
+    training = documents(spark, rows).select("text")
+    corpus = lm_scoring.corpus_of(lm_scoring.count_words(training))
+    assert corpus.tokens > 1_700_000
+    sent = spark.sparkContext.broadcast(corpus)
+    learned = lm_scoring.training_symbols(training, sent).collect()
+    assert {r.turn for r in learned} == set(range(lm_scoring.ROUNDS))
+    rank = {int(w): i for i, w in enumerate(corpus.words)}
+    want = []
+    for _, text in rows:
+        hashes, _, _ = lm_scoring.tokens_of(pa.array([text], pa.string()))
+        want.append([rank[int(w)] for w in hashes])
+    frequent = lambda found: [x if x < lm_scoring.SYMBOL_WORDS else -1 for x in found]
+    got = sorted(frequent(np.frombuffer(r.symbols, "<u2").tolist()) for r in learned)
+    assert got == sorted(map(frequent, want))
+
+
 def _url_parts(url):
     if url is None or "://" not in url:
         return "", ""
