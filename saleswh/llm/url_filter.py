@@ -1,7 +1,8 @@
 """URL filters: rules first, then the log-likelihood ratio of two character language models.
 
 One model is trained on the URLs that the rules accept, one on those they
-reject. Both are Markov models of variable order: the chance of a character
+reject. They read whole URLs; a second pair reads host and path only and gives
+the score that is returned. All are Markov models of variable order: the chance of a character
 after a context is smoothed with that after the shorter context, down to single
 characters. The difference of the two log likelihoods, per character, decides
 URLs without a rule; its threshold is calibrated on the URLs with one. Only
@@ -46,8 +47,8 @@ def matching_rule(host: Column, path: Column, rules: Sequence[Rule]) -> tuple[Co
 
 
 def _grams(urls: DataFrame) -> DataFrame:
-    """A row per character: it and the ``ORDER`` characters before it."""
-    whole = F.concat(F.lit(EDGE * ORDER), F.col("host"), F.col("path"), F.lit(END))
+    """A row per character of ``text``: it and the ``ORDER`` characters before it."""
+    whole = F.concat(F.lit(EDGE * ORDER), F.col("text"), F.lit(END))
     return urls.withColumn("_whole", whole).select(
         *urls.columns,
         F.explode(
@@ -122,21 +123,11 @@ def threshold(scored: DataFrame) -> float:
     return -1e9 if best is None else float(best["bin"]) * BINS
 
 
-def judge_urls(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
-    """Per row ``page_id, host, path, rule, verdict, score``.
-
-    Null and malformed URLs have no host, no path and so no rule; the models
-    judge them like others. Repeated rows are judged alike; a null page_id stays
-    null; extra columns are not read; no rows in, none out.
-    """
-    host, path = host_and_path(F.col("url"))
-    parsed = pages.select(F.col("page_id").cast("long"), host.alias("host"), path.alias("path"))
-    text, action = matching_rule(F.col("host"), F.col("path"), rules)
-    ruled = parsed.select("*", text.alias("rule"), action.alias("action"))
-    # Equal URLs are scored once, with their number as weight in training.
-    urls = kept(ruled.groupBy("host", "path", "action").agg(F.count("*").alias("n")))
+def text_scores(texts: DataFrame) -> DataFrame:
+    """``text, action, n, score`` from rows of ``text`` and ``action``; equal ones are scored once, with weight n."""
+    texts = kept(texts.groupBy("text", "action").agg(F.count("*").alias("n")))
     counted = kept(
-        _grams(urls)
+        _grams(texts)
         .groupBy("gram")
         .agg(
             F.sum(F.when(F.col("action") == "allow", F.col("n")).otherwise(0)).alias("accepted"),
@@ -144,14 +135,31 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         )
     )
     ratios = character_ratios(counted.filter("accepted + rejected > 0"), counted)
-    scored = kept(
-        _grams(urls.select("host", "path", "action", "n"))
-        .join(ratios, "gram")
-        .groupBy("host", "path", "action", "n")
-        .agg(F.avg("ratio").alias("score"))
+    return kept(_grams(texts).join(ratios, "gram").groupBy("text", "action", "n").agg(F.avg("ratio").alias("score")))
+
+
+def judge_urls(pages: DataFrame, rules: Sequence[Rule]) -> DataFrame:
+    """Per row ``page_id, host, path, rule, verdict, score``.
+
+    Null and malformed URLs have no host, no path and so no rule; the models
+    judge them like others, by all they say. The verdict without a rule rests on
+    the whole URL with scheme, query and fragment; ``score`` is the ratio of host
+    and path alone. Repeated rows are judged alike; a null page_id stays null;
+    extra columns are not read; no rows in, none out.
+    """
+    host, path = host_and_path(F.col("url"))
+    parsed = pages.select(
+        F.col("page_id").cast("long"), F.coalesce("url", F.lit("")).alias("url"), host.alias("host"), path.alias("path")
     )
-    limit = threshold(scored)
-    scores = scored.select(F.col("host").alias("_h"), F.col("path").alias("_p"), F.round("score", 9).alias("score"))
-    judged = ruled.join(scores, (F.col("host") == F.col("_h")) & (F.col("path") == F.col("_p")), "left")
-    own = F.when(F.col("score") >= limit, "allow").otherwise("block")
-    return judged.select("page_id", "host", "path", "rule", F.coalesce("action", own).alias("verdict"), "score")
+    text, action = matching_rule(F.col("host"), F.col("path"), rules)
+    ruled = parsed.select("*", text.alias("rule"), action.alias("action"))
+    whole = text_scores(ruled.select(F.col("url").alias("text"), "action"))
+    limit = threshold(whole)
+    # A text has one action: equal URLs, or host and path, meet the same rules; host and path part at the first slash.
+    own = whole.select(F.col("text").alias("_url"), F.col("score").alias("_whole"))
+    short = text_scores(ruled.select(F.concat("host", "path").alias("text"), "action"))
+    shown = short.select(F.col("text").alias("_text"), F.round("score", 9).alias("score"))
+    judged = ruled.join(own, F.col("url") == F.col("_url"), "left")
+    judged = judged.join(shown, F.concat("host", "path") == F.col("_text"), "left")
+    by_models = F.when(F.round("_whole", 9) >= limit, "allow").otherwise("block")
+    return judged.select("page_id", "host", "path", "rule", F.coalesce("action", by_models).alias("verdict"), "score")

@@ -153,6 +153,16 @@ def test_rules_and_ratio_of_urls(spark):
     assert url_filter.judge_urls(pages.filter("false"), URL_RULES).count() == 0
 
 
+def test_urls_are_judged_by_query_and_without_scheme_too(spark):
+    urls = [f"http://good{i % 7}.com/fr/p?u=library-{i}" for i in range(60)]
+    urls += [f"http://spam{i % 7}.com/de/p?u=casino-win-{i}" for i in range(60)]
+    urls += ["http://x.net/p?u=library-7", "http://x.net/p?u=casino-win-7", "u=library-8", "u=casino-win-8"]
+    rules = [("allow", f"good{i}.com", "") for i in range(7)] + [("block", f"spam{i}.com", "") for i in range(7)]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    found = {r.page_id: r.verdict for r in url_filter.judge_urls(pages, rules).collect()}
+    assert [found[i] for i in range(120, 124)] == ["allow", "block", "allow", "block"]
+
+
 def _features(text):
     text = text or ""
     w = [x for x in re.split(r"[\x20\x09-\x0D]+", text) if x]
