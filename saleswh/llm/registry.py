@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 from saleswh.llm import (
     decontamination,
+    exact_dedup,
     lm_scoring,
     near_duplicates,
     packing,
+    periodic_runs,
+    prefix_trie,
     quality,
     repeated_bytes,
     secrets,
@@ -82,6 +85,18 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(read_documents(spark, sf_dir), tokenizer_file("byte_bpe_50k.json"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.run_digests(read_documents(spark, sf_dir))
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.exact_groups(read_documents(spark, sf_dir))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_nodes(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_lm_score": op1_lm_score,
     "op2_decontamination": op2_decontamination,
@@ -93,6 +108,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_repeated_bytes": op9_repeated_bytes,
     "op10_token_counts": op10_token_counts,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op12_exact_dedup": exact_dedup.GROUPS_SQL}
