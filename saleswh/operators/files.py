@@ -68,3 +68,27 @@ def write_once(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     path = f"{shared_dir(spark)}/saleswh-{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared checkpoint folder, task by task, its lineage cut."""
+    context = df.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(df.sparkSession))
+    return df.checkpoint()
+
+
+def swap_in(spark: SparkSession, ready: str, target: str) -> None:
+    """Renames a finished folder to ``target``; what was there before goes once the new one is in place."""
+    source, fs = _at(spark, ready)
+    place, _ = _at(spark, target)
+    aside, _ = _at(spark, f"{target}.before-{uuid.uuid4().hex}")
+    had_one = fs.exists(place)
+    if had_one and not fs.rename(place, aside):
+        raise OSError(f"cannot move {target}")
+    if not fs.rename(source, place):
+        if had_one:
+            fs.rename(aside, place)
+        raise OSError(f"cannot move {ready} to {target}")
+    if had_one:
+        fs.delete(aside, True)

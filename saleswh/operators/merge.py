@@ -33,14 +33,3 @@ def merge_rows(
 def insert_if_absent(target: DataFrame, rows: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The rows of ``rows`` whose key ``target`` does not hold yet."""
     return rows.join(target.select(*keys), list(keys), "left_anti")
-
-
-def number_new_rows(df: DataFrame, surrogate: str, highest: int) -> DataFrame:
-    """Fills NULL surrogate keys with numbers above ``highest``, leaving gaps.
-
-    The numbers depend on the task a row falls in, so this belongs directly
-    before a write, with no shuffle in between: then a repeated task replaces
-    its own output and nothing else has seen the numbers.
-    """
-    fresh = F.lit(highest + 1) + F.monotonically_increasing_id()
-    return df.withColumn(surrogate, F.coalesce(F.col(surrogate), fresh))

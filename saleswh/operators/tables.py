@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -21,8 +21,10 @@ from saleswh.operators import files
 class VersionedTable:
     """``partition`` names the storage partition, ``surrogate`` a running number.
 
-    The pointer file also holds the highest running number handed out so far,
-    so that a load need not look for it in the whole table.
+    A partition column that ``schema`` does not list is storage only: readers see
+    it on request. The pointer file also holds the highest running number handed
+    out so far, a number that grows with every change, and notes that callers keep
+    with a state of the table; all of them change with the folders, or not at all.
     """
 
     def __init__(
@@ -38,10 +40,12 @@ class VersionedTable:
         self.schema = schema
         self.partition = partition
         self.surrogate = surrogate
+        hidden = partition is not None and partition not in schema.fieldNames()
+        self.stored = T.StructType([*schema.fields, T.StructField(partition, T.IntegerType())]) if hidden else schema
 
     def create_if_absent(self) -> VersionedTable:
         if not files.exists(self.spark, self._pointer):
-            self._point_to([], 0)
+            self._point_to([], 0, {}, 0)
         return self
 
     def folders(self) -> list[str]:
@@ -50,25 +54,41 @@ class VersionedTable:
     def highest(self) -> int:
         return self._state()["highest"]
 
-    def read(self) -> DataFrame:
+    def notes(self) -> dict:
+        return self._state().get("notes", {})
+
+    def change(self) -> int:
+        """How often the table has changed."""
+        return self._state().get("change", 0)
+
+    def read(self, stored: bool = False) -> DataFrame:
+        """The table's columns, with its storage partition if ``stored``."""
+        shown = self.stored if stored else self.schema
         folders = self.folders()
         if not folders:
-            return _no_rows(self.spark, self.schema)
-        reader = self.spark.read.schema(self.schema).option("basePath", self.path)
-        return reader.parquet(*(f"{self.path}/{folder}" for folder in folders)).select(
-            *self.schema.fieldNames()
-        )
+            return _no_rows(self.spark, shown)
+        reader = self.spark.read.schema(self.stored).option("basePath", self.path)
+        return reader.parquet(*(f"{self.path}/{folder}" for folder in folders)).select(*shown.fieldNames())
+
+    def replace(
+        self,
+        df: DataFrame,
+        partition_values: Iterable[int] | None = None,
+        highest: int | None = None,
+        notes: dict | None = None,
+    ) -> None:
+        """Makes ``df`` the content of the table, or of the partitions named.
 
-    def replace(self, df: DataFrame, partition_values: Iterable[int] | None = None) -> None:
-        """Makes ``df`` the content of the table, or of the partitions named."""
+        ``highest`` and ``notes`` replace those of the table, where given.
+        """
         kept: list[str] = []
         if partition_values is not None:
             gone = {f"{self.partition}={value}" for value in partition_values}
             kept = [folder for folder in self.folders() if folder.split("/")[-1] not in gone]
-        self._write(df, kept)
+        self._write(df, kept, highest, notes)
 
     def append(self, df: DataFrame) -> None:
-        self._write(df, self.folders())
+        self._write(df, self.folders(), None, None)
 
     @property
     def _pointer(self) -> str:
@@ -79,25 +99,23 @@ class VersionedTable:
             return {"folders": [], "highest": 0}
         return json.loads(files.read_text(self.spark, self._pointer))
 
-    def _write(self, df: DataFrame, kept: list[str]) -> None:
-        highest = self.highest()
+    def _write(self, df: DataFrame, kept: list[str], highest: int | None, notes: dict | None) -> None:
+        before = self._state()
         version = f"version={self._next_version()}"
-        rows = df.select(*self.schema.fieldNames())
-        numbers = Observation()
-        if self.surrogate:
-            # Seen while the rows are written, at no further scan.
-            rows = rows.observe(numbers, F.max(self.surrogate).alias("highest"))
-        writer = rows.write.mode("errorifexists")
+        writer = df.select(*self.stored.fieldNames()).write.mode("errorifexists")
         if self.partition:
             writer = writer.partitionBy(self.partition)
         writer.parquet(f"{self.path}/{version}")
-        if self.surrogate:
-            highest = max(highest, numbers.get["highest"] or 0)
         written = [version]
         if self.partition:
             names = files.children(self.spark, f"{self.path}/{version}")
             written = [f"{version}/{name}" for name in names if name.startswith(f"{self.partition}=")]
-        self._point_to(kept + written, highest)
+        self._point_to(
+            kept + written,
+            before["highest"] if highest is None else highest,
+            before.get("notes", {}) if notes is None else notes,
+            before.get("change", 0) + 1,
+        )
 
     def _next_version(self) -> int:
         return max((int(name.split("=")[1]) for name in self._versions()), default=0) + 1
@@ -121,8 +139,8 @@ class VersionedTable:
     def _versions(self) -> list[str]:
         return [name for name in files.children(self.spark, self.path) if name.startswith("version=")]
 
-    def _point_to(self, folders: list[str], highest: int) -> None:
-        state = {"folders": sorted(folders), "highest": highest}
+    def _point_to(self, folders: list[str], highest: int, notes: dict, change: int) -> None:
+        state = {"folders": sorted(folders), "highest": highest, "notes": notes, "change": change}
         files.replace_text(self.spark, self._pointer, json.dumps(state))
 
 

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 
 from saleswh.operators import files
 from saleswh.plans import metrics
-from saleswh.plans.star import Star
+from saleswh.plans.star import DEFAULT_END, DEFAULT_START, Star
 
 
 @dataclass(frozen=True)
@@ -18,7 +19,7 @@ class Report:
     write_empty: bool = True
 
 
-def reports(star: Star, start: str, end: str) -> list[Report]:
+def reports(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END) -> list[Report]:
     """The datasets that are exported, and whether they are when empty."""
     return [
         Report("revenue_by_category", metrics.revenue_by_category(star, start, end)),
@@ -33,18 +34,24 @@ def reports(star: Star, start: str, end: str) -> list[Report]:
     ]
 
 
-def export_reports(star: Star, path: str, start: str, end: str) -> list[str]:
-    """Writes each dataset as headed CSV below ``path`` and names those written.
+def export_reports(star: Star, path: str, start: str = DEFAULT_START, end: str = DEFAULT_END) -> list[str]:
+    """Publishes the datasets as headed CSV below ``path``, one folder each, and names those written.
 
-    Earlier output of the same names is replaced, or removed where a dataset
-    that is not written when empty has become empty.
+    All of them are written aside first and take the place of ``path`` by a
+    rename. A dataset that fails leaves the earlier output as it was, and folders
+    of datasets that are no longer written go with it.
     """
+    spark = star.fact.sparkSession
+    target = path.rstrip("/")
+    aside = f"{target}.next-{uuid.uuid4().hex}"
     written = []
-    for report in reports(star, start, end):
-        target = f"{path.rstrip('/')}/{report.name}"
-        if not report.write_empty and report.data.isEmpty():
-            files.delete(star.fact.sparkSession, target)
-            continue
-        report.data.write.mode("overwrite").option("header", True).csv(target)
-        written.append(report.name)
+    try:
+        for report in reports(star, start, end):
+            if report.write_empty or not report.data.isEmpty():
+                report.data.write.option("header", True).csv(f"{aside}/{report.name}")
+                written.append(report.name)
+        files.swap_in(spark, aside, target)
+    except BaseException:
+        files.delete(spark, aside)
+        raise
     return written

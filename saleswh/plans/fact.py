@@ -9,11 +9,16 @@ from pyspark.sql import functions as F
 
 from saleswh.functions import keys, money
 from saleswh.operators.dedupe import first_row
-from saleswh.operators.merge import merge_rows, number_new_rows
+from saleswh.operators.files import stored
+from saleswh.operators.key_index import KeyIndex
+from saleswh.operators.merge import merge_rows
+from saleswh.operators.numbering import dense_numbers
 from saleswh.operators.tables import VersionedTable
-from saleswh.schema import FACT_PARTITION
+from saleswh.schema import FACT_PARTITION, FACT_SALES_ITEM
 from saleswh.sources.conform import fact_fx_rates
 
+KEY = "order_item_id"
+
 
 def order_item_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Items with their order, keyed by day and minute.
@@ -68,54 +73,79 @@ def orphan_items(items: DataFrame, product_keys: DataFrame) -> DataFrame:
     return items.join(product_keys, "product_id", "left_anti")
 
 
-def upsert_fact(table: VersionedTable, rows: DataFrame, loaded_at: datetime) -> None:
-    """Overwrites facts by order item, rewriting only the months in which something changes.
+def upsert_fact(table: VersionedTable, rows: DataFrame, loaded_at: datetime) -> list[int]:
+    """Overwrites facts by order item, and returns the days in which something changed.
 
-    ``rows`` is read several times, so pass a written table. Such months hold a
-    new or changed row, or lose one because its date changed. A load that
-    changes nothing writes nothing.
+    ``rows`` is read several times, so pass a written table. It is compared with
+    the index of the stored facts, not with the facts: rows that are stored as
+    they are drop out there. Months that gain, change or lose a row are merged
+    and rewritten. The new facts and the new index become valid together. A load
+    that changes nothing writes nothing.
     """
+    index = KeyIndex(table.spark, f"{table.path}/key_index", KEY)
+    state = table.notes().get("index")
+    if state is None and table.folders():
+        state = index.write(_entries(table.read()), None)
     updates = rows.withColumn(FACT_PARTITION, keys.month_of_key()).withColumn(
         "created_at", F.lit(loaded_at).cast("timestamp")
     )
-    current = table.read()
-    month = F.col(FACT_PARTITION)
-    touched = _changed_months(current, updates)
-    if not touched:
-        return
+    changes = _changes(index, state, _entries(updates))
+    days = _changed_days(changes)
+    if not days:
+        return []
+    months = sorted({day // 100 for day in days})
+    new = changes.filter("before_day IS NULL")
+    numbers, highest = dense_numbers(new, KEY, "sales_item_sk", table.highest())
+    changed = updates.join(changes.select(KEY), KEY, "left_semi").join(numbers, KEY, "left")
     merged = merge_rows(
-        current.filter(month.isin(touched)),
-        updates.filter(month.isin(touched)),
-        ["order_item_id"],
-        kept=["sales_item_sk", "created_at"],
+        table.read().filter(F.col(FACT_PARTITION).isin(months)), changed, [KEY], kept=["sales_item_sk", "created_at"]
     )
     # Rebalancing groups a month into few files and splits a month that is too
     # large for one task; sorted files let date filters skip row groups.
-    spread = merged.hint("rebalance", FACT_PARTITION)
-    numbered = number_new_rows(spread, "sales_item_sk", table.highest())
-    table.replace(numbered.sortWithinPartitions(FACT_PARTITION, "date_key"), touched)
+    spread = merged.hint("rebalance", FACT_PARTITION).sortWithinPartitions(FACT_PARTITION, "date_key")
+    table.replace(spread, months, highest, {**table.notes(), "index": _next_index(index, state, changes)})
+    return days
+
+
+def _entries(rows: DataFrame) -> DataFrame:
+    """Key, day and a hash of all columns that a load sets."""
+    compared = [name for name in FACT_SALES_ITEM.fieldNames() if name not in (KEY, "sales_item_sk", "created_at")]
+    return rows.select(KEY, F.col("date_key").alias("stored_day"), F.xxhash64(*compared).alias("stored_print"))
+
+
+def _changes(index: KeyIndex, state: dict | None, entries: DataFrame) -> DataFrame:
+    """Entries that are new or differ from the index, with the day they were stored under (``before_day``)."""
+    if state is None:
+        return entries.withColumn("before_day", F.lit(None).cast("int"))
+    new = entries.withColumnsRenamed({"stored_day": "day", "stored_print": "print"})
+    with index.opened(state, index.slabs_of(entries, state)) as known:
+        compared = new.join(known, KEY, "left").filter(~F.col("print").eqNullSafe(F.col("stored_print")))
+        return stored(
+            compared.select(
+                KEY,
+                F.col("day").alias("stored_day"),
+                F.col("print").alias("stored_print"),
+                F.col("stored_day").alias("before_day"),
+            )
+        )
 
 
-def _changed_months(current: DataFrame, updates: DataFrame) -> list[int]:
-    """Months that gain, change or lose a row: at most twelve per year of sales.
+def _changed_days(changes: DataFrame) -> list[int]:
+    """Days that gain, change or lose a row: at most the days of the calendar."""
+    days = changes.select(F.explode(F.array("stored_day", "before_day")).alias("day"))
+    return sorted(row["day"] for row in days.filter("day IS NOT NULL").distinct().collect())
 
-    All columns that a load sets are compared as one struct; a stored item that
-    differs, or moves, names both its old and its new month.
-    """
-    compared = [name for name in updates.columns if name not in ("created_at", "order_item_id")]
-    stored = current.select(
-        "order_item_id", F.struct(*compared).alias("_stored"), F.col(FACT_PARTITION).alias("_stored_month")
-    )
-    joined = updates.select("order_item_id", F.struct(*compared).alias("_new"), FACT_PARTITION).join(
-        stored, "order_item_id", "left"
-    )
-    changed = joined.filter(~F.col("_new").eqNullSafe(F.col("_stored")))
-    months = changed.select(F.explode(F.array(FACT_PARTITION, "_stored_month")).alias("month"))
-    return [row[0] for row in months.filter("month IS NOT NULL").distinct().collect()]
+
+def _next_index(index: KeyIndex, state: dict | None, changes: DataFrame) -> dict:
+    if state is None:
+        return index.write(changes, None)
+    with index.opened(state, index.slabs_of(changes, state)) as known:
+        merged = merge_rows(known, changes.drop("before_day"), [KEY])
+        return index.write(merged, state)
 
 
 def hourly_sales(fact: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> DataFrame:
-    """Revenue and item count per day and hour, over all currencies.
+    """Revenue and item count per day and hour, over all currencies, with the day's month.
 
     Summed per day and minute first, so the two dimensions meet at most one
     row per minute instead of every sale.
@@ -126,9 +156,42 @@ def hourly_sales(fact: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> D
     return (
         per_minute.join(dim_date.select("date_key", "date"), "date_key")
         .join(dim_time.select("time_key", "hour"), "time_key")
-        .groupBy("date", "hour")
+        .groupBy("date", "hour", keys.month_of_key().alias(FACT_PARTITION))
         .agg(
             F.sum("revenue_usd").cast("decimal(28,4)").alias("revenue_usd"),
             F.sum("items_count").alias("items_count"),
         )
     )
+
+
+def refresh_hourly(
+    table: VersionedTable,
+    fact: VersionedTable,
+    dim_date: DataFrame,
+    dim_time: DataFrame,
+    changed: tuple[int, list[int]] | None = None,
+) -> None:
+    """Brings the hourly table up to date with the fact.
+
+    ``changed`` holds the fact's change number before a load and the days the
+    load touched. If the hourly table stood at that number, only these days are
+    summed anew, and only their months are read and rewritten; in all other cases
+    (no ``changed``, or an earlier refresh failed) everything is. The table notes
+    the change number it stands at.
+    """
+    now = fact.change()
+    notes = {"fact_change": now}
+    before, days = changed or (None, [])
+    at = table.notes().get("fact_change")
+    if changed and at == now:
+        return
+    if before is None or at != before:
+        table.replace(hourly_sales(fact.read(), dim_date, dim_time), notes=notes)
+        return
+    months = sorted({day // 100 for day in days})
+    touched = table.spark.createDataFrame([(day,) for day in days], "date_key int")
+    in_months = F.col(FACT_PARTITION).isin(months)
+    again = fact.read().filter(in_months).join(touched, "date_key", "left_semi")
+    rest = table.read(stored=True).filter(in_months)
+    untouched = rest.join(touched, keys.date_key(F.col("date")) == touched["date_key"], "left_anti")
+    table.replace(untouched.unionByName(hourly_sales(again, dim_date, dim_time)), months, notes=notes)

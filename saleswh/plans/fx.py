@@ -8,8 +8,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleswh.functions.money import usd_rate
+from saleswh.operators.files import stored
 from saleswh.operators.merge import merge_rows
 from saleswh.operators.tables import VersionedTable
+from saleswh.schema import RATE
 from saleswh.sources.conform import order_currencies, order_date_range
 from saleswh.sources.fx_snapshot import quotes
 
@@ -62,8 +64,24 @@ def fx_rate_rows(
 
 
 def upsert_fx_rates(table: VersionedTable, rows: DataFrame) -> None:
-    merged = merge_rows(table.read(), rows, ["fx_date", "currency"])
-    table.replace(merged.hint("rebalance"))
+    """Overwrites rates by day and currency.
+
+    A rate that is stored with the same value and source stays as it is, with the
+    moment it was first fetched. Only years with a new or another rate are
+    rewritten; without any, nothing is.
+    """
+    keyed = rows.withColumn(table.partition, F.year("fx_date"))
+    known = table.read().select("fx_date", "currency", F.struct("rate_to_usd", "source").alias("_known"))
+    new = F.struct(F.col("rate_to_usd").cast(RATE).alias("rate_to_usd"), "source")
+    changed = stored(
+        keyed.join(known, ["fx_date", "currency"], "left").filter(~new.eqNullSafe(F.col("_known"))).select(*keyed.columns)
+    )
+    years = [row[0] for row in changed.select(table.partition).distinct().collect()]
+    if not years:
+        return
+    current = table.read(stored=True).filter(F.col(table.partition).isin(years))
+    merged = merge_rows(current, changed, ["fx_date", "currency"])
+    table.replace(merged.hint("rebalance", table.partition), years)
 
 
 def _timestamp(moment: datetime) -> Column:

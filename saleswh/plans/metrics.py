@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from saleswh.functions import keys, labels
 from saleswh.functions.money import is_fx_fallback, is_iso
+from saleswh.operators.files import stored
 from saleswh.operators.joins import fits_broadcast, sum_with_dimension
 from saleswh.operators.series import pivot_sum, running_total, trailing_mean
-from saleswh.plans.star import Star
+from saleswh.plans.star import DEFAULT_END, DEFAULT_START, Star
 from saleswh.plans.views import sales_base
-from saleswh.session import shared_dir
+from saleswh.schema import FACT_PARTITION
 
 
 def _largest(measure: str, *tie_break: str) -> list[Column]:
@@ -50,7 +51,11 @@ def _by_product(sales: DataFrame, star: Star, *by: str) -> DataFrame:
 
 
 def top_products(
-    star: Star, start: str, end: str, categories: Sequence[str] | None = None, limit: int = 20
+    star: Star,
+    start: str = DEFAULT_START,
+    end: str = DEFAULT_END,
+    categories: Sequence[str] | None = None,
+    limit: int = 20,
 ) -> DataFrame:
     """Products by revenue, of all categories or of those listed."""
     totals = _by_product(_iso_sales(star, start, end), star, "product_category", "product_name")
@@ -59,17 +64,17 @@ def top_products(
     return totals.orderBy(*_largest("revenue", "product_category", "product_name")).limit(limit)
 
 
-def category_performance(star: Star, start: str, end: str) -> DataFrame:
+def category_performance(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END) -> DataFrame:
     """Units and revenue per category, highest revenue first."""
     totals = _by_product(_iso_sales(star, start, end), star, "product_category")
     return totals.orderBy(*_largest("revenue", "product_category"))
 
 
-def revenue_by_category(star: Star, start: str, end: str) -> DataFrame:
+def revenue_by_category(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END) -> DataFrame:
     return category_performance(star, start, end).select("product_category", "revenue", "units")
 
 
-def revenue_by_product(star: Star, start: str, end: str, limit: int = 15) -> DataFrame:
+def revenue_by_product(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END, limit: int = 15) -> DataFrame:
     """Product names by revenue; products that share a name count as one."""
     totals = _by_product(_iso_sales(star, start, end), star, "product_name")
     ordered = totals.orderBy(*_largest("revenue", "product_name")).limit(limit)
@@ -94,11 +99,11 @@ def _hour_totals(star: Star, start: str, end: str) -> DataFrame:
     return _by_product(sales, star, "hour_of_day").select("hour_of_day", "revenue", "units")
 
 
-def best_hours(star: Star, start: str, end: str) -> DataFrame:
+def best_hours(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END) -> DataFrame:
     return _hour_totals(star, start, end).orderBy(*_largest("revenue", "hour_of_day"))
 
 
-def revenue_by_hour(star: Star, start: str, end: str) -> DataFrame:
+def revenue_by_hour(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END) -> DataFrame:
     return _hour_totals(star, start, end).orderBy("hour_of_day")
 
 
@@ -107,11 +112,11 @@ def _day_totals(star: Star, start: str, end: str) -> DataFrame:
     return days.select(keys.key_to_date().alias("sales_date"), "revenue")
 
 
-def daily_revenue(star: Star, start: str, end: str) -> DataFrame:
+def daily_revenue(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END) -> DataFrame:
     return _day_totals(star, start, end).orderBy("sales_date")
 
 
-def daily_revenue_ma(star: Star, start: str, end: str, rows: int = 7) -> DataFrame:
+def daily_revenue_ma(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END, rows: int = 7) -> DataFrame:
     """Daily revenue with the mean of the last ``rows`` days that had sales."""
     average = trailing_mean("revenue", "sales_date", rows)
     return _day_totals(star, start, end).select(
@@ -119,7 +124,7 @@ def daily_revenue_ma(star: Star, start: str, end: str, rows: int = 7) -> DataFra
     ).orderBy("sales_date")
 
 
-def daily_revenue_cumulative(star: Star, start: str, end: str) -> DataFrame:
+def daily_revenue_cumulative(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END) -> DataFrame:
     total = running_total("revenue", "sales_date")
     return _day_totals(star, start, end).select(
         "sales_date", total.alias("cumulative_revenue")
@@ -137,11 +142,11 @@ def _weekday_hours(star: Star, start: str, end: str) -> DataFrame:
     )
 
 
-def weekday_hour_revenue(star: Star, start: str, end: str) -> DataFrame:
+def weekday_hour_revenue(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END) -> DataFrame:
     return _weekday_hours(star, start, end).orderBy("weekday_iso", "hour_of_day")
 
 
-def weekday_hour_matrix(star: Star, start: str, end: str) -> DataFrame:
+def weekday_hour_matrix(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END) -> DataFrame:
     """Seven rows, Monday first, with the revenue of hours ``h0`` .. ``h23``."""
     totals = _weekday_hours(star, start, end).withColumn(
         "hour", F.concat(F.lit("h"), F.col("hour_of_day").cast("string"))
@@ -159,21 +164,26 @@ def _month_categories(star: Star, start: str, end: str) -> DataFrame:
     return totals.select("product_category", month.alias("month"), "revenue")
 
 
-def monthly_revenue_by_category(star: Star, start: str, end: str) -> DataFrame:
+def monthly_revenue_by_category(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END) -> DataFrame:
     return _month_categories(star, start, end).orderBy(F.asc_nulls_last("product_category"), "month")
 
 
-def monthly_top_matrix(star: Star, start: str, end: str, top: int = 5) -> DataFrame:
+def monthly_matrix(
+    star: Star, categories: Sequence[str], start: str = DEFAULT_START, end: str = DEFAULT_END
+) -> DataFrame:
+    """Revenue per month, one column for each category listed; months in which none of them sold are left out."""
+    monthly = _month_categories(star, start, end).filter(F.col("product_category").isin(list(categories)))
+    return pivot_sum(monthly, "month", "product_category", "revenue", list(categories)).orderBy("month")
+
+
+def monthly_top_matrix(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END, top: int = 5) -> DataFrame:
     """Revenue per month, one column for each of the ``top`` largest categories.
 
     The category names become column names, so they have to be known before
     the matrix is planned. The monthly sums are checkpointed in between, so
     the sales are read once.
     """
-    context = star.fact.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(shared_dir(star.fact.sparkSession))
-    monthly = _month_categories(star, start, end).filter("product_category IS NOT NULL").checkpoint()
+    monthly = stored(_month_categories(star, start, end).filter("product_category IS NOT NULL"))
     leading = (
         monthly.groupBy("product_category")
         .agg(F.sum("revenue").alias("total"))
@@ -181,17 +191,34 @@ def monthly_top_matrix(star: Star, start: str, end: str, top: int = 5) -> DataFr
         .limit(top)
     )
     names = sorted(row["product_category"] for row in leading.collect())
-    kept = monthly.join(leading.select("product_category"), "product_category", "left_semi")
+    kept = monthly.filter(F.col("product_category").isin(names))
     return pivot_sum(kept, "month", "product_category", "revenue", names).orderBy("month")
 
 
-def monthly_top_rows(star: Star, start: str, end: str, top: int = 5) -> DataFrame:
+def monthly_top_rows(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END, top: int = 5) -> DataFrame:
     """The same matrix with one row per month and category."""
     matrix = monthly_top_matrix(star, start, end, top)
     names = [f"`{name}`" for name in matrix.columns if name != "month"]
     return matrix.unpivot(["month"], names, "product_category", "revenue")
 
 
+def weekend_revenue(star: Star, quarters: Sequence[int] = (1, 2, 3, 4)) -> DataFrame:
+    """Units and revenue on Saturdays and Sundays of the quarters listed, per year and quarter, in real currencies.
+
+    The days are chosen in the calendar. It is joined by month as well as by day,
+    so the months of other quarters are pruned from the facts when the query runs.
+    """
+    chosen = star.dim_date.filter(F.col("is_weekend") & F.col("quarter").isin(list(quarters)))
+    days = chosen.select("date_key", keys.month_of_key().alias(FACT_PARTITION), "year", "quarter")
+    sales = _measures(star.fact.filter(is_iso(F.col("currency"))))
+    return (
+        sales.join(days, [FACT_PARTITION, "date_key"])
+        .groupBy("year", "quarter")
+        .agg(F.sum("units").alias("units"), F.sum("revenue").alias("revenue"))
+        .orderBy("year", "quarter")
+    )
+
+
 # Customers and countries. Countries are grouped as stored and labelled after.
 
 
@@ -213,7 +240,7 @@ def _by_customer(star: Star, start: str, end: str, *by: str) -> DataFrame:
     return totals.withColumn("revenue", F.col("revenue").cast("decimal(28,4)"))
 
 
-def top_customers(star: Star, start: str, end: str, limit: int = 10) -> DataFrame:
+def top_customers(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END, limit: int = 10) -> DataFrame:
     """Customers by revenue, with their number of orders."""
     per_order = _by_customer(star, start, end, "named", "raw_country", "order_id")
     totals = per_order.groupBy(
@@ -227,19 +254,19 @@ def top_customers(star: Star, start: str, end: str, limit: int = 10) -> DataFram
     )
 
 
-def top_customer_labels(star: Star, start: str, end: str, limit: int = 10) -> DataFrame:
+def top_customer_labels(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END, limit: int = 10) -> DataFrame:
     label = labels.customer_label(F.col("customer_name"), F.col("country"))
     return top_customers(star, start, end, limit).select(label.alias("label"), "revenue")
 
 
-def revenue_by_country(star: Star, start: str, end: str) -> DataFrame:
+def revenue_by_country(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END) -> DataFrame:
     totals = _by_customer(star, start, end, "raw_country")
     return totals.orderBy(*_largest("revenue", "raw_country")).select(
         labels.or_unknown(F.col("raw_country")).alias("country"), "revenue"
     )
 
 
-def avg_order_value_by_country(star: Star, start: str, end: str) -> DataFrame:
+def avg_order_value_by_country(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END) -> DataFrame:
     """Mean order total per country label."""
     orders = _by_customer(star, start, end, "order_id", "raw_country")
     average = F.sum("revenue").cast("double") / F.count("revenue")
@@ -261,7 +288,7 @@ def non_iso_currency_counts(star: Star) -> DataFrame:
     return counts.orderBy(*_largest("row_count", "wrong_currency"))
 
 
-def fx_coverage(star: Star, start: str, end: str) -> DataFrame:
+def fx_coverage(star: Star, start: str = DEFAULT_START, end: str = DEFAULT_END) -> DataFrame:
     """Lines in the window, and how many of them have a rate or the fallback."""
     fallback = is_fx_fallback(F.col("currency"), F.col("fx_rate_to_usd"))
     counted = _iso_sales(star, start, end).select(

@@ -2,25 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 from datetime import date, datetime, timezone
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import types as T
 
 from saleswh import schema
 from saleswh.operators import files
+from saleswh.operators.key_index import KeyIndex
+from saleswh.operators.steps import run_steps
 from saleswh.operators.tables import VersionedTable
 from saleswh.plans import dims, fact, fx, quality, views
 from saleswh.plans.star import Star
-from saleswh.session import use_exact_decimals
+from saleswh.session import shared_dir, use_exact_decimals
 from saleswh.sources import conform, generators
 from saleswh.sources.bundle import Sources
 
+REFUSED = T.StructField("refused", T.BooleanType())
+
 
 class Warehouse:
     """The tables below one root folder."""
@@ -30,51 +34,55 @@ class Warehouse:
         use_exact_decimals(spark)
         self.root = root.rstrip("/")
 
-        def table(name: str, columns: StructType, **options: str) -> VersionedTable:
+        def table(name: str, columns: T.StructType, **options: str) -> VersionedTable:
             return VersionedTable(spark, f"{self.root}/{name}", columns, **options)
 
         self.dim_date = table("dim_date", schema.DIM_DATE)
         self.dim_time = table("dim_time", schema.DIM_TIME)
-        self.dim_customer = table("dim_customer", schema.DIM_CUSTOMER, surrogate="customer_sk")
-        self.dim_product = table("dim_product", schema.DIM_PRODUCT, surrogate="product_sk")
-        self.dim_fx_rate = table("dim_fx_rate", schema.DIM_FX_RATE)
+        self.dim_customer = table("dim_customer", schema.DIM_CUSTOMER, partition="bucket", surrogate="customer_sk")
+        self.dim_product = table("dim_product", schema.DIM_PRODUCT, partition="bucket", surrogate="product_sk")
+        self.dim_fx_rate = table("dim_fx_rate", schema.DIM_FX_RATE, partition="fx_year")
         self.fact = table(
             "fact_sales_item",
             schema.FACT_STORED,
             partition=schema.FACT_PARTITION,
             surrogate="sales_item_sk",
         )
-        self.hourly_sales = table("hourly_sales", schema.HOURLY_SALES)
-
-    def create_schema(self, as_of: date, years_back: int = 5, days_ahead: int = 365) -> None:
-        """Creates what is absent and fills the calendar and the day's minutes."""
-        for table in (
+        self.refused = table("fact_refused", schema.FACT_REFUSED)
+        self.hourly_sales = table("hourly_sales", schema.HOURLY_SALES, partition=schema.FACT_PARTITION)
+        self.tables = [
             self.dim_date,
             self.dim_time,
             self.dim_customer,
             self.dim_product,
             self.dim_fx_rate,
             self.fact,
+            self.refused,
             self.hourly_sales,
-        ):
+        ]
+
+    def create_tables(self) -> None:
+        for table in self.tables:
             table.create_if_absent()
+
+    def fill_calendar(self, as_of: date, years_back: int = 5, days_ahead: int = 365) -> None:
         days = generators.calendar(self.spark, F.lit(as_of), years_back, days_ahead)
         dims.add_missing(self.dim_date, days, "date_key")
+
+    def fill_minutes(self) -> None:
         dims.add_missing(self.dim_time, generators.minutes(self.spark), "time_key")
 
-    def load_dimensions(
-        self, sources: Sources, name_candidates: Sequence[str] = conform.CUSTOMER_NAME
-    ) -> None:
-        """Both dimensions at once: they do not depend on each other."""
-        people = dims.customer_rows(sources.customers, name_candidates)
-        goods = dims.product_rows(sources.products)
-        with ThreadPoolExecutor(2) as pool:
-            jobs = [
-                pool.submit(dims.upsert_dimension, self.dim_customer, people, "customer_id"),
-                pool.submit(dims.upsert_dimension, self.dim_product, goods, "product_id"),
-            ]
-        for job in jobs:
-            job.result()
+    def create_schema(self, as_of: date, years_back: int = 5, days_ahead: int = 365) -> None:
+        """Creates what is absent and fills the calendar and the day's minutes."""
+        self.create_tables()
+        self.fill_calendar(as_of, years_back, days_ahead)
+        self.fill_minutes()
+
+    def load_customers(self, sources: Sources, name_candidates: Sequence[str] = conform.CUSTOMER_NAME) -> None:
+        dims.upsert_dimension(self.dim_customer, dims.customer_rows(sources.customers, name_candidates), "customer_id")
+
+    def load_products(self, sources: Sources) -> None:
+        dims.upsert_dimension(self.dim_product, dims.product_rows(sources.products), "product_id")
 
     def load_fx_rates(
         self,
@@ -92,30 +100,43 @@ class Warehouse:
         )
         fx.upsert_fx_rates(self.dim_fx_rate, rows)
 
-    def load_fact(self, sources: Sources, loaded_at: datetime) -> str:
-        """Checks and upserts the facts, then refreshes the hourly table.
+    def load_fact(self, sources: Sources, loaded_at: datetime) -> tuple[int, list[int]]:
+        """Checks and upserts the facts.
 
-        The new rows are written once to the shared folder: the checks and the
-        merge read them several times. Returns the outcome of the refresh.
+        The new rows are written once to the shared folder, sound and broken ones
+        apart, and what they break is counted in that write. If any is broken, the
+        broken rows go to the table of refused ones and the load is refused.
+        Returns the change number of the fact before, and the days touched.
         """
         rows = fact.fact_rows(
             conform.order_items(sources.order_items),
             conform.orders(sources.orders),
             self.dim_fx_rate.read(),
         )
-        staged, staged_path = files.write_once(rows, "staged")
+        checked = quality.with_broken(rows, self.dim_date.read(), self.dim_time.read())
+        path = f"{shared_dir(self.spark)}/saleswh-staged-{uuid.uuid4().hex}"
+        counts = Observation()
+        observed = checked.observe(counts, *quality.broken_counts())
+        refused = F.size("broken") > 0
         try:
-            quality.assert_loadable(staged, self.dim_date.read(), self.dim_time.read())
-            fact.upsert_fact(self.fact, staged, loaded_at)
+            observed.withColumn("refused", refused).write.partitionBy("refused").parquet(path)
+            staged = self.spark.read.schema(T.StructType([*checked.schema, REFUSED])).parquet(path)
+            if any(counts.get.values()):
+                moment = F.lit(loaded_at).cast("timestamp").alias("refused_at")
+                self.refused.append(staged.filter("refused").select("*", moment))
+            quality.refuse(counts.get)
+            before = self.fact.change()
+            return before, fact.upsert_fact(self.fact, staged.filter("NOT refused").select(*rows.columns), loaded_at)
         finally:
-            files.delete(self.spark, staged_path)
-        return self.refresh_hourly_sales()
+            files.delete(self.spark, path)
+
+    def refresh_hourly_sales(self, changed: tuple[int, list[int]] | None = None) -> str:
+        """Brings the hourly table up to date, as a whole unless ``changed`` is what ``load_fact`` returned.
 
-    def refresh_hourly_sales(self) -> str:
-        """Rebuilds the hourly table; a failure is reported, not raised."""
+        A failure is reported, not raised; the next refresh then does it all.
+        """
         try:
-            totals = fact.hourly_sales(self.fact.read(), self.dim_date.read(), self.dim_time.read())
-            self.hourly_sales.replace(totals)
+            fact.refresh_hourly(self.hourly_sales, self.fact, self.dim_date.read(), self.dim_time.read(), changed)
         except (PySparkException, Py4JJavaError) as error:
             return f"hourly sales not refreshed: {error}"
         return "hourly sales refreshed"
@@ -148,12 +169,40 @@ class Warehouse:
         name_candidates: Sequence[str] = conform.CUSTOMER_NAME,
         loaded_at: datetime | None = None,
     ) -> list[str]:
-        """Schema, dimensions, rates, facts, views, checks. Returns the messages."""
+        """Schema, dimensions, rates, facts, views, checks. Returns the messages.
+
+        Steps begin as soon as those they need are done: calendar, minutes, both
+        dimensions and the rates at once, then the facts, then the refresh, the
+        views and the checks.
+        """
         moment = loaded_at or datetime.now(timezone.utc)
-        self.create_schema(as_of, years_back, days_ahead)
-        self.load_dimensions(sources, name_candidates)
-        self.load_fx_rates(sources, moment, run_date)
-        refreshed = self.load_fact(sources, moment)
+        self.create_tables()
+        dimensions = ["calendar", "minutes", "customers", "products"]
+        changed: list[tuple[int, list[int]]] = []
+        done = run_steps(
+            self.spark,
+            {
+                "calendar": ([], lambda: self.fill_calendar(as_of, years_back, days_ahead)),
+                "minutes": ([], self.fill_minutes),
+                "customers": ([], lambda: self.load_customers(sources, name_candidates)),
+                "products": ([], lambda: self.load_products(sources)),
+                "rates": ([], lambda: self.load_fx_rates(sources, moment, run_date)),
+                "fact": (["calendar", "minutes", "rates"], lambda: changed.append(self.load_fact(sources, moment))),
+                "hourly": (["fact"], lambda: self.refresh_hourly_sales(changed[0])),
+                "views": (["fact", *dimensions], self.register_views),
+                "checks": (["fact", *dimensions], self.check),
+            },
+        )
+        return [done["hourly"], *done["checks"]]
+
+    def register_views(self) -> None:
         star = self.star()
         views.register_views(star.fact, star.dim_product)
-        return [refreshed, *self.check()]
+
+    def remove_old_versions(self) -> None:
+        """Deletes what no table consists of any more. Not while someone reads an earlier state."""
+        for table in self.tables:
+            table.remove_old_versions()
+        state = self.fact.notes().get("index")
+        if state:
+            KeyIndex(self.spark, f"{self.fact.path}/key_index", fact.KEY).remove_unused(state)

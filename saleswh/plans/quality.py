@@ -53,7 +53,12 @@ def dq_checks(
         _check("invalid_quantity", _issue_if_any("bad_quantity"), F.col("bad_quantity")),
         _check("invalid_unit_price", _issue_if_any("bad_price"), F.col("bad_price")),
     ]
-    one_pass = totals.select(F.inline(F.array(*checks)))
+    # Tenths of a percent, rounded half up in whole numbers.
+    tenths = F.expr("(2000 * non_iso + rows) DIV (2 * greatest(rows, 1))")
+    shown = F.when((F.col("check_name") == "non_iso_currency") & (F.col("non_iso") > 0), tenths).alias("tenths")
+    one_pass = totals.select("rows", "non_iso", F.inline(F.array(*checks))).select(
+        "check_name", "level", "failed_rows", shown
+    )
     repeated = duplicate_items(fact).agg(F.count(F.lit(1)).alias("failed"))
     # As a filter the flag meets the view's own and folds away, unless the view leaks.
     leaked = clean.filter("is_non_iso_currency").agg(F.count(F.lit(1)).alias("failed"))
@@ -61,12 +66,31 @@ def dq_checks(
         repeated.select(F.inline(F.array(_check("duplicate_items", _issue_if_any("failed"), F.col("failed"))))),
         leaked.select(F.inline(F.array(_check("non_iso_in_clean", _issue_if_any("failed"), F.col("failed"))))),
     ]
-    result = one_pass.unionByName(rest[0]).unionByName(rest[1])
+    none = F.lit(None).cast("bigint")
+    result = one_pass.unionByName(rest[0].withColumn("tenths", none)).unionByName(rest[1].withColumn("tenths", none))
+    above = F.when(F.col("level") == "issue", F.lit(f" > {non_iso_max_share:.0%} threshold")).otherwise("")
+    share = F.concat(F.expr("format_string(' (%d.%d%%)', tenths DIV 10, tenths % 10)"), above)
     return result.select(
         "check_name",
         "level",
         "failed_rows",
-        F.concat_ws(": ", "check_name", F.col("failed_rows").cast("string")).alias("message"),
+        F.concat(
+            F.concat_ws(": ", "check_name", F.col("failed_rows").cast("string")),
+            F.when(F.col("tenths").isNotNull(), share).otherwise(""),
+        ).alias("message"),
+    )
+
+
+def verdict_rows(checks: DataFrame) -> DataFrame:
+    """The verdict as one row: ``passed``, and the messages of issues and warnings in order."""
+
+    def messages(level: str) -> Column:
+        return F.array_join(F.array_sort(F.collect_list(F.when(F.col("level") == level, F.col("message")))), "; ")
+
+    return checks.agg(
+        (F.count_if(F.col("level") == "issue") == 0).alias("passed"),
+        messages("issue").alias("issues"),
+        messages("warning").alias("warnings"),
     )
 
 
@@ -85,43 +109,65 @@ def verdict(checks: DataFrame) -> list[str]:
     return sorted(row["message"] for row in found)
 
 
-def assert_loadable(rows: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> None:
-    """Refuses a fact load as a whole when any row breaks a table constraint.
+MANDATORY = [
+    "order_item_id",
+    "order_id",
+    "product_id",
+    "customer_id",
+    "date_key",
+    "time_key",
+    "quantity",
+    "unit_price_orig",
+    "currency",
+    "fx_rate_to_usd",
+]
+
+
+def _constraints() -> dict[str, Column]:
+    """What no stored fact may be; the last two need the marks of known days and minutes."""
+    rules = {f"{name} is missing": F.col(name).isNull() for name in MANDATORY}
+    rules["currency has more than three characters"] = F.coalesce(F.length(F.rtrim("currency")) > 3, F.lit(False))
+    rules["date_key is not in the calendar"] = F.col("has_date").isNull()
+    rules["time_key is not in the day"] = F.col("has_time").isNull()
+    return rules
+
+
+def with_broken(rows: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> DataFrame:
+    """``rows`` with ``broken``, the constraints that a row breaks by name; an empty array for a sound one.
 
-    NULLs, unknown days or minutes, and currency codes over three characters.
     Amounts that do not fit their columns have raised before, in their casts.
     """
-    mandatory = [
-        "order_item_id",
-        "order_id",
-        "product_id",
-        "customer_id",
-        "date_key",
-        "time_key",
-        "quantity",
-        "unit_price_orig",
-        "currency",
-        "fx_rate_to_usd",
-    ]
-    rules = {f"{name} is missing": F.col(name).isNull() for name in mandatory}
-    rules["currency has more than three characters"] = F.length(F.rtrim("currency")) > 3
-    per_minute = rows.groupBy("date_key", "time_key").agg(
-        F.count(F.lit(1)).alias("n"), *(F.count_if(rule).alias(name) for name, rule in rules.items())
-    )
-    totals = _with_key_marks(per_minute, dim_date, dim_time).agg(
-        *(_total(name).alias(name) for name in rules),
-        _total("n", F.col("has_date").isNull()).alias("date_key is not in the calendar"),
-        _total("n", F.col("has_time").isNull()).alias("time_key is not in the day"),
-    )
-    broken = [f"{name} ({count} rows)" for name, count in totals.first().asDict().items() if count]
+    marked = _with_key_marks(rows, dim_date, dim_time)
+    named = F.array(*(F.when(rule, F.lit(name)) for name, rule in _constraints().items()))
+    return marked.select(*rows.columns, F.array_compact(named).alias("broken"))
+
+
+def broken_counts() -> list[Column]:
+    """Rows per constraint, as aggregates over ``broken``; small enough to observe while rows are written."""
+    return [F.count_if(F.array_contains("broken", name)).alias(name) for name in _constraints()]
+
+
+def refusals(checked: DataFrame) -> DataFrame:
+    """Rows with ``broken`` counted per constraint: ``rule``, ``rows``; no row for a constraint that holds."""
+    return checked.select(F.explode("broken").alias("rule")).groupBy("rule").agg(F.count(F.lit(1)).alias("rows"))
+
+
+def refuse(counts: dict[str, int]) -> None:
+    """Raises if any constraint is broken: a load is refused as a whole."""
+    broken = [f"{name} ({counts[name]} rows)" for name in _constraints() if counts.get(name)]
     if broken:
         raise QualityError("fact load refused: " + "; ".join(broken))
 
 
-def _with_key_marks(per_minute: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> DataFrame:
+def assert_loadable(rows: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> None:
+    """The same for rows that are not being written anyway."""
+    refuse(with_broken(rows, dim_date, dim_time).agg(*broken_counts()).first().asDict())
+
+
+def _with_key_marks(rows: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> DataFrame:
     dates = dim_date.select("date_key", F.lit(True).alias("has_date"))
     times = dim_time.select("time_key", F.lit(True).alias("has_time"))
-    return per_minute.join(dates, "date_key", "left").join(times, "time_key", "left")
+    return rows.join(dates, "date_key", "left").join(times, "time_key", "left")
 
 
 def _total(count: str, only: Column | None = None) -> Column:

@@ -9,6 +9,10 @@ from pyspark.sql import DataFrame
 from saleswh.functions.keys import in_window
 from saleswh.plans.views import clean_sales
 
+# The window of reports that name none.
+DEFAULT_START = "2024-01-01"
+DEFAULT_END = "2024-12-31"
+
 
 @dataclass(frozen=True)
 class Star:

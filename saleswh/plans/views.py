@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from saleswh.functions.money import is_fx_fallback, is_iso
 from saleswh.schema import FACT_SALES_ITEM
 
-# Report columns in order, as the enriched view lists them.
+# Report columns in order, as the enriched view lists them.
 REPORT_COLUMNS = [
     "order_item_id",
     "order_id",
@@ -80,15 +80,19 @@ def sales_valid(fact: DataFrame) -> DataFrame:
     )
 
 
-def register_views(fact: DataFrame, dim_product: DataFrame) -> None:
-    """(Re)creates the four views under their names for SQL users."""
+def sales_views(fact: DataFrame, dim_product: DataFrame) -> dict[str, DataFrame]:
+    """The four views by name."""
     base = sales_base(fact)
     enriched = sales_enriched(base, dim_product)
-    views = {
+    return {
         "sales_base": base,
         "sales_enriched": enriched,
         "sales_clean": sales_clean(enriched),
         "sales_valid": sales_valid(fact),
     }
-    for name, view in views.items():
+
+
+def register_views(fact: DataFrame, dim_product: DataFrame) -> None:
+    """(Re)creates the four views under their names in this session, for SQL users."""
+    for name, view in sales_views(fact, dim_product).items():
         view.createOrReplaceTempView(name)

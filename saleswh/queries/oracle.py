@@ -10,6 +10,7 @@ from saleswh.queries.registry import (
     EVENTS_AS_OF,
     FILTERED_CATEGORIES,
     FX_RUN_DATE,
+    MOVED_DAYS,
     RETAIL_AS_OF,
 )
 from saleswh.sources import retail
@@ -224,10 +225,22 @@ SELECT check_name,
        WHEN failed_rows = 0 THEN 'ok'
        WHEN check_name = 'non_iso_currency' AND failed_rows <= {max_share} * (SELECT n FROM counted) THEN 'warning'
        ELSE 'issue' END AS level,
-  failed_rows, check_name || ': ' || CAST(failed_rows AS VARCHAR) AS message
+  failed_rows, check_name || ': ' || CAST(failed_rows AS VARCHAR)
+    || CASE WHEN check_name = 'non_iso_currency' AND failed_rows > 0
+         THEN (SELECT ' (' || CAST(tenths // 10 AS VARCHAR) || '.' || CAST(tenths % 10 AS VARCHAR) || '%)'
+               FROM (SELECT (2000 * non_iso + n) // (2 * n) AS tenths FROM counted))
+           || CASE WHEN failed_rows > {max_share} * (SELECT n FROM counted) THEN ' > {max_share:.0%} threshold' ELSE '' END
+         ELSE '' END AS message
 FROM checks"""
 
 
+def _verdict(checks: str) -> str:
+    return f"""SELECT COUNT(*) FILTER (WHERE level = 'issue') = 0 AS passed,
+  coalesce(string_agg(message, '; ' ORDER BY message) FILTER (WHERE level = 'issue'), '') AS issues,
+  coalesce(string_agg(message, '; ' ORDER BY message) FILTER (WHERE level = 'warning'), '') AS warnings
+FROM ({checks})"""
+
+
 def _calendar_misses(as_of: object) -> str:
     first = f"CAST(DATE '{as_of}' - INTERVAL 5 YEAR AS DATE)"
     last = f"CAST(DATE '{as_of}' + INTERVAL 365 DAY AS DATE)"
@@ -424,6 +437,94 @@ FROM first_batch f FULL OUTER JOIN second_batch s ON s.order_item_id = f.order_i
     "FROM lineitem GROUP BY 1 HAVING COUNT(*) > 1",
 }
 
+ORACLE["dq_verdict"] = _verdict(ORACLE["dq_checks"])
+ORACLE["dq_verdict_raw"] = _verdict(ORACLE["dq_checks_raw"])
+
+ORACLE["monthly_category_matrix"] = _retail(
+    f", {_MONTHLY} SELECT month, "
+    + ", ".join(
+        f"CAST(coalesce(SUM(revenue) FILTER (WHERE product_category = '{name}'), 0) AS DOUBLE) AS \"{name}\""
+        for name in FILTERED_CATEGORIES
+    )
+    + f" FROM monthly WHERE product_category IN ({_LISTED}) GROUP BY month"
+)
+ORACLE["weekend_revenue_by_quarter"] = _retail(
+    f", days AS (SELECT *, strptime(CAST(date_key AS VARCHAR), '%Y%m%d')::DATE AS day FROM base) "
+    f"SELECT CAST(year(day) AS SMALLINT) AS year, CAST(quarter(day) AS SMALLINT) AS quarter, {UNITS}, {REVENUE} "
+    "FROM days WHERE isodow(day) >= 6 AND quarter(day) IN (1, 4) AND NOT is_non_iso_currency GROUP BY 1, 2"
+)
+ORACLE["csv_round_trip"] = " UNION ALL ".join(
+    f"SELECT '{report}' AS report, {label} AS label, revenue FROM ({ORACLE[name]})"
+    for report, label, name in (
+        ("revenue_by_category", "product_category", "revenue_by_category"),
+        ("revenue_by_product_top15", "product_name", "revenue_by_product"),
+        ("revenue_by_country", "country", "revenue_by_country"),
+    )
+)
+
+# A first load without every fifth order; then those, and another fifth on later days, at other rates of one day.
+_TWICE = ",\n".join(
+    [
+        RETAIL_ORDERS,
+        RETAIL_ITEMS,
+        CURRENCIES,
+        "first_orders AS (SELECT * FROM orders_src WHERE order_id % 5 <> 0)",
+        f"second_orders AS (SELECT * REPLACE (CASE WHEN order_id % 5 = 3 THEN ts + INTERVAL {MOVED_DAYS} DAY ELSE ts END AS ts)"
+        " FROM orders_src WHERE order_id % 5 IN (0, 3))",
+        f"first_days AS ({ORDER_DAYS.replace('orders_src', 'first_orders')})",
+        f"first_fx AS (SELECT fx_date, currency, CAST({USD_BASED} AS DECIMAL(18,8)) AS rate"
+        " FROM first_days CROSS JOIN currencies)",
+        f"second_fx AS (SELECT fx_date, currency, CASE WHEN fx_date = DATE '{FX_RUN_DATE}'"
+        f" THEN CAST({EUR_BASED} AS DECIMAL(18,8)) ELSE rate END AS rate FROM first_fx)",
+        _facts("first_batch", "first_orders", "first_fx"),
+        _facts("second_batch", "second_orders", "second_fx"),
+        """merged AS (
+  SELECT *, 1 AS created_by_load FROM first_batch
+  WHERE order_item_id NOT IN (SELECT order_item_id FROM second_batch)
+  UNION ALL
+  SELECT *, CASE WHEN order_item_id IN (SELECT order_item_id FROM first_batch) THEN 1 ELSE 2 END FROM second_batch)""",
+    ]
+)
+ORACLE["fact_second_load"] = f"""WITH {_TWICE}
+SELECT order_item_id, date_key, currency, CAST(fx_rate_to_usd AS DOUBLE) AS fx_rate_to_usd,
+  CAST(line_amount_usd AS DOUBLE) AS line_amount_usd, created_by_load FROM merged"""
+ORACLE["hourly_second_load"] = f"""WITH {_TWICE}
+SELECT strptime(CAST(date_key AS VARCHAR), '%Y%m%d')::DATE AS date, CAST(time_key // 60 AS SMALLINT) AS hour,
+  CAST(SUM(line_amount_usd) AS DOUBLE) AS revenue_usd, COUNT(*) AS items_count FROM merged GROUP BY 1, 2"""
+ORACLE["customer_second_load"] = ORACLE["dim_upsert"]
+ORACLE["fx_second_load"] = f"""WITH {_TWICE}
+SELECT fx_date, currency, CAST(rate AS DOUBLE) AS rate_to_usd, '{retail.PROVIDER} (latest base='
+  || CASE WHEN fx_date = DATE '{FX_RUN_DATE}' THEN 'EUR' ELSE 'USD' END || ')' AS source FROM second_fx"""
+ORACLE["surrogate_keys"] = f"""WITH {_TWICE}
+SELECT 'fact_sales_item' AS table_name, COUNT(*) AS row_count, COUNT(*) AS numbers, COUNT(*) AS highest,
+  COUNT(*) FILTER (WHERE created_by_load = 1) AS kept FROM merged
+UNION ALL SELECT 'dim_customer', COUNT(*), COUNT(*), COUNT(*), COUNT(*) FROM customer
+UNION ALL SELECT 'dim_product', COUNT(*), COUNT(*), COUNT(*), COUNT(*) FROM part"""
+
+_SPOILED = ",\n".join(
+    [
+        RETAIL_ORDERS.replace("orders_src AS", "sound_orders AS"),
+        RETAIL_ITEMS.replace("items_src AS", "sound_items AS"),
+        """orders_src AS (SELECT order_id, CASE WHEN order_id % 7 <> 1 THEN customer_id END AS customer_id,
+    CASE WHEN order_id % 13 = 3 THEN TIMESTAMP '1950-01-01' ELSE ts END AS ts, status,
+    CASE WHEN order_id % 11 = 2 THEN 'EURO' ELSE currency END AS currency FROM sound_orders)""",
+        """items_src AS (SELECT order_item_id, order_id, product_id,
+    CASE WHEN order_item_id % 17 <> 4 THEN quantity END AS quantity, price FROM sound_items)""",
+        "fx AS (SELECT CAST(NULL AS DATE) AS fx_date, 'USD' AS currency, CAST(1 AS DECIMAL(18,8)) AS rate)",
+        _facts("fact"),
+    ]
+)
+_BROKEN = {
+    "customer_id is missing": "customer_id IS NULL",
+    "quantity is missing": "quantity IS NULL",
+    "currency has more than three characters": "length(currency) > 3",
+    "date_key is not in the calendar": "date_key < 19600101",
+}
+ORACLE["load_refusals"] = f"WITH {_SPOILED}\n" + " UNION ALL ".join(
+    f"SELECT '{rule}' AS rule, COUNT(*) AS \"rows\" FROM fact WHERE {broken} HAVING COUNT(*) > 0"
+    for rule, broken in _BROKEN.items()
+)
+
 # The matrix has a column for each of the five categories, named by the data.
 ORACLE["monthly_top5_matrix"] = (
     "SELECT month, coalesce(COLUMNS(* EXCLUDE (month)), 0) FROM "

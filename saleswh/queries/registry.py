@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 from threading import Lock
 
@@ -19,7 +20,7 @@ from pyspark.sql import types as T
 
 from saleswh.operators.files import replace_text, write_once
 from saleswh.operators.merge import insert_if_absent, merge_rows
-from saleswh.plans import dims, fact, fx, metrics, quality, sql, views
+from saleswh.plans import dims, export, fact, fx, metrics, quality, sql, views
 from saleswh.plans.pipeline import Warehouse
 from saleswh.plans.star import Star
 from saleswh.session import shared_dir, use_exact_decimals
@@ -36,6 +37,8 @@ FIRST_LOAD = datetime(2024, 3, 1)
 SECOND_LOAD = datetime(2024, 3, 2)
 FX_RUN_DATE = date(1999, 12, 31)
 FILTERED_CATEGORIES = ["Brand#1", "Brand#2", "Brand#3"]
+#: Days by which the second load moves some orders.
+MOVED_DAYS = 40
 
 
 _warehouses: dict[tuple[str, str, str], tuple[Warehouse, Star]] = {}
@@ -44,13 +47,12 @@ _loading = Lock()
 
 
 def _loaded(spark: SparkSession, folder: str, kind: str) -> tuple[Warehouse, Star]:
-    """The warehouse of one kind and its tables, loaded on first use by this session."""
+    """The warehouse of one kind, and its tables as the first load left them; loaded on first use by this session."""
     key = (spark.sparkContext.applicationId, folder, kind)
+    loads = {"retail": load_retail, "events": load_events, "twice": load_twice, "spoiled": load_spoiled}
     with _loading:
         if key not in _warehouses:
-            load = load_retail if kind == "retail" else load_events
-            warehouse = load(spark, folder, f"{shared_dir(spark)}/saleswh-{kind}-{uuid.uuid4().hex}")
-            _warehouses[key] = (warehouse, warehouse.star())
+            _warehouses[key] = loads[kind](spark, folder, f"{shared_dir(spark)}/saleswh-{kind}-{uuid.uuid4().hex}")
         return _warehouses[key]
 
 
@@ -72,7 +74,7 @@ def event_star(spark: SparkSession, folder: str) -> Star:
     return _loaded(spark, folder, "events")[1]
 
 
-def load_retail(spark: SparkSession, folder: str, root: str) -> Warehouse:
+def load_retail(spark: SparkSession, folder: str, root: str) -> tuple[Warehouse, Star]:
     warehouse = Warehouse(spark, root)
     warehouse.run(
         _sources(spark, folder, "retail"),
@@ -80,10 +82,10 @@ def load_retail(spark: SparkSession, folder: str, root: str) -> Warehouse:
         years_back=RETAIL_YEARS_BACK,
         loaded_at=FIRST_LOAD,
     )
-    return warehouse
+    return warehouse, warehouse.star()
 
 
-def load_events(spark: SparkSession, folder: str, root: str) -> Warehouse:
+def load_events(spark: SparkSession, folder: str, root: str) -> tuple[Warehouse, Star]:
     warehouse = Warehouse(spark, root)
     warehouse.run(
         _sources(spark, folder, "events"),
@@ -91,7 +93,63 @@ def load_events(spark: SparkSession, folder: str, root: str) -> Warehouse:
         run_date=retail.EVENTS_RUN_DATE,
         loaded_at=FIRST_LOAD,
     )
-    return warehouse
+    return warehouse, warehouse.star()
+
+
+def load_twice(spark: SparkSession, folder: str, root: str) -> tuple[Warehouse, Star]:
+    """Four fifths of the orders, then a batch: the last fifth, and another one moved to later days.
+
+    The batch brings the rates of one day from a snapshot with another base, and
+    names for the customers of four segments.
+    """
+    whole = _sources(spark, folder, "retail")
+    fifth = F.col("id") % 5
+    warehouse = Warehouse(spark, root)
+    warehouse.run(
+        replace(whole, orders=whole.orders.filter(fifth != 0)),
+        as_of=RETAIL_AS_OF,
+        years_back=RETAIL_YEARS_BACK,
+        loaded_at=FIRST_LOAD,
+    )
+    first = warehouse.star()
+    later = F.when(fifth == 3, F.col("order_date") + F.expr(f"INTERVAL {MOVED_DAYS} DAY")).otherwise(F.col("order_date"))
+    warehouse.run(
+        replace(
+            whole,
+            orders=whole.orders.filter(fifth.isin(0, 3)).withColumn("order_date", later),
+            customers=whole.customers.filter(F.col("segment") != "MACHINERY"),
+            fx_snapshot=retail.snapshot(spark, "EUR", retail.EUR_QUOTES),
+        ),
+        as_of=RETAIL_AS_OF,
+        years_back=RETAIL_YEARS_BACK,
+        run_date=FX_RUN_DATE,
+        name_candidates=["full_name", "name"],
+        loaded_at=SECOND_LOAD,
+    )
+    return warehouse, first
+
+
+def load_spoiled(spark: SparkSession, folder: str, root: str) -> tuple[Warehouse, Star]:
+    """A load that is refused: customers and quantities missing, a currency too long, days before the calendar."""
+    whole = _sources(spark, folder, "retail")
+    order = F.col("id")
+    orders = (
+        whole.orders.withColumn("customer_id", F.when(order % 7 != 1, F.col("customer_id")))
+        .withColumn("currency", F.when(order % 11 == 2, "EURO").otherwise(F.col("currency")))
+        .withColumn(
+            "order_date", F.when(order % 13 == 3, F.lit("1950-01-01").cast("timestamp_ntz")).otherwise(F.col("order_date"))
+        )
+    )
+    items = whole.order_items.withColumn("quantity", F.when(order % 17 != 4, F.col("quantity")))
+    spoiled = replace(whole, orders=orders, order_items=items)
+    warehouse = Warehouse(spark, root)
+    warehouse.create_schema(RETAIL_AS_OF, RETAIL_YEARS_BACK)
+    warehouse.load_fx_rates(spoiled, FIRST_LOAD, FX_RUN_DATE)
+    try:
+        warehouse.load_fact(spoiled, FIRST_LOAD)
+    except quality.QualityError:
+        return warehouse, warehouse.star()
+    raise AssertionError("a load with broken rows went through")
 
 
 def _plain(df: DataFrame) -> DataFrame:
@@ -134,15 +192,14 @@ def _on_event_sources(build: Callable[[SparkSession, Sources], DataFrame]) -> Qu
     return lambda spark, folder: _plain(build(spark, _sources(spark, folder, "events")))
 
 
-# Reports written in SQL on the registered views
+# Reports written in SQL on the views
 
 
 def _report_sql(text: str, events: bool = False, **args: object) -> Query:
     def run(spark: SparkSession, folder: str) -> DataFrame:
         star = event_star(spark, folder) if events else retail_star(spark, folder)
-        views.register_views(star.fact, star.dim_product)
         window = retail.EVENTS_WINDOW if events else retail.RETAIL_WINDOW
-        return _plain(sql.run_report_sql(spark, text, *window, **args))
+        return _plain(sql.run_report_sql(star, text, *window, **args))
 
     return run
 
@@ -191,8 +248,8 @@ def _fx_cross_rates(spark: SparkSession, sources: Sources) -> DataFrame:
 
 
 def _fx_snapshot_file(spark: SparkSession, sources: Sources) -> DataFrame:
-    """Rates of the order currencies from a stored snapshot; the file is always the same one."""
-    path = f"{shared_dir(spark)}/saleswh-snapshot.json"
+    """Rates of the order currencies from a stored snapshot."""
+    path = f"{shared_dir(spark)}/saleswh-snapshot-{uuid.uuid4().hex}.json"
     rates = {"base": "EUR", "date": "2024-01-01", "rates": retail.EUR_QUOTES}
     replace_text(spark, path, json.dumps(rates))
     return fx.currency_rates(
@@ -320,6 +377,81 @@ def _hourly_sales(spark: SparkSession, folder: str) -> DataFrame:
     return _plain(_loaded(spark, folder, "events")[0].hourly_sales.read())
 
 
+# Loads onto a filled warehouse
+
+
+def _fact_second_load(spark: SparkSession, folder: str) -> DataFrame:
+    first = F.lit(FIRST_LOAD).cast("timestamp")
+    return _plain(
+        _loaded(spark, folder, "twice")[0]
+        .fact.read()
+        .select(
+            "order_item_id",
+            "date_key",
+            "currency",
+            "fx_rate_to_usd",
+            "line_amount_usd",
+            F.when(F.col("created_at") == first, 1).otherwise(2).alias("created_by_load"),
+        )
+    )
+
+
+def _hourly_second_load(spark: SparkSession, folder: str) -> DataFrame:
+    return _plain(_loaded(spark, folder, "twice")[0].hourly_sales.read())
+
+
+def _customer_second_load(spark: SparkSession, folder: str) -> DataFrame:
+    return _loaded(spark, folder, "twice")[0].dim_customer.read().drop("customer_sk")
+
+
+def _fx_second_load(spark: SparkSession, folder: str) -> DataFrame:
+    return _plain(_loaded(spark, folder, "twice")[0].dim_fx_rate.read().drop("fetched_at"))
+
+
+def _surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
+    """Per table: rows, distinct numbers, the highest one, and rows that kept theirs in the second load."""
+    warehouse, first = _loaded(spark, folder, "twice")
+    tables = [
+        ("fact_sales_item", warehouse.fact.read(), first.fact, "order_item_id", "sales_item_sk"),
+        ("dim_customer", warehouse.dim_customer.read(), first.dim_customer, "customer_id", "customer_sk"),
+        ("dim_product", warehouse.dim_product.read(), first.dim_product, "product_id", "product_sk"),
+    ]
+    found = None
+    for name, now, before, key, number in tables:
+        old = before.select(key, F.col(number).alias("old_number"))
+        counts = now.join(old, key, "left").agg(
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("row_count"),
+            F.countDistinct(number).alias("numbers"),
+            F.max(number).alias("highest"),
+            F.count_if(F.col(number) == F.col("old_number")).alias("kept"),
+        )
+        found = counts if found is None else found.unionByName(counts)
+    return found
+
+
+def _load_refusals(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.refusals(_loaded(spark, folder, "spoiled")[0].refused.read())
+
+
+def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
+    """Three of the exported reports, read back from their files."""
+    path = f"{shared_dir(spark)}/saleswh-csv-{uuid.uuid4().hex}"
+    export.export_reports(retail_star(spark, folder), path, *retail.RETAIL_WINDOW)
+    labels = {
+        "revenue_by_category": "product_category",
+        "revenue_by_product_top15": "product_name",
+        "revenue_by_country": "country",
+    }
+    found = None
+    for name, label in labels.items():
+        report = spark.read.option("header", True).csv(f"{path}/{name}").select(
+            F.lit(name).alias("report"), F.col(label).alias("label"), F.col("revenue").cast("double").alias("revenue")
+        )
+        found = report if found is None else found.unionByName(report)
+    return found
+
+
 QUERIES: dict[str, Query] = {
     # Reports
     "top_products": _on_retail(metrics.top_products),
@@ -343,6 +475,10 @@ QUERIES: dict[str, Query] = {
     "monthly_revenue_by_category": _on_retail(metrics.monthly_revenue_by_category),
     "monthly_top5_matrix": _on_retail(metrics.monthly_top_matrix),
     "monthly_top5_rows": _on_retail(metrics.monthly_top_rows),
+    "monthly_category_matrix": lambda spark, folder: _plain(
+        metrics.monthly_matrix(retail_star(spark, folder), FILTERED_CATEGORIES, *retail.RETAIL_WINDOW)
+    ),
+    "weekend_revenue_by_quarter": _on_star(lambda star: metrics.weekend_revenue(star, quarters=[1, 4])),
     "top_customers": _on_retail(metrics.top_customers),
     "top_customers_named": _top_customers_named,
     "top_customer_labels": _on_events(metrics.top_customer_labels),
@@ -382,7 +518,17 @@ QUERIES: dict[str, Query] = {
     "distinct_currencies": _on_sources(lambda spark, s: conform.order_currencies(conform.orders(s.orders))),
     "distinct_categories": _on_sources(lambda spark, s: dims.product_categories(s.products)),
     "source_counts": _on_sources(_source_counts),
+    # Second loads
+    "fact_second_load": _fact_second_load,
+    "hourly_second_load": _hourly_second_load,
+    "customer_second_load": _customer_second_load,
+    "fx_second_load": _fx_second_load,
+    "surrogate_keys": _surrogate_keys,
+    "load_refusals": _load_refusals,
+    "csv_round_trip": _csv_round_trip,
     # Quality
+    "dq_verdict": _on_event_star(lambda star: quality.verdict_rows(_dq_checks(star))),
+    "dq_verdict_raw": _on_sources(lambda spark, s: quality.verdict_rows(_dq_checks_raw(spark, s))),
     "dq_checks": _on_event_star(_dq_checks),
     "dq_checks_raw": _on_sources(_dq_checks_raw),
     "dq_duplicates": _on_sources(_dq_duplicates),

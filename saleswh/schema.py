@@ -73,6 +73,15 @@ FACT_SALES_ITEM = _struct(
 FACT_PARTITION = "sales_month"
 FACT_STORED = T.StructType([*FACT_SALES_ITEM.fields, T.StructField(FACT_PARTITION, T.IntegerType())])
 
+# Rows that a load refused, with the constraints they break.
+FACT_REFUSED = T.StructType(
+    [
+        *(field for field in FACT_SALES_ITEM.fields if field.name not in ("sales_item_sk", "created_at")),
+        T.StructField("broken", T.ArrayType(T.StringType())),
+        T.StructField("refused_at", T.TimestampType()),
+    ]
+)
+
 HOURLY_SALES = _struct(
     date=T.DateType(),
     hour=T.ShortType(),

@@ -8,7 +8,8 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from saleswh import schema
-from saleswh.operators.merge import insert_if_absent, merge_rows, number_new_rows
+from saleswh.operators.merge import insert_if_absent, merge_rows
+from saleswh.operators.numbering import dense_numbers
 from saleswh.operators.tables import VersionedTable
 from saleswh.plans import dims, fact, fx
 from tests import builders as b
@@ -48,12 +49,14 @@ def test_insert_if_absent(spark):
     assert rows(insert_if_absent(_kv(spark, (1, "a", 1)), _kv(spark, (1, "x", 2), (2, "y", 2)), ["k"])) == [(2, "y", 2)]
 
 
-def test_new_numbers_are_unique_and_above_the_highest(spark):
-    df = spark.range(0, 1000, 1, 5).select(F.when(F.col("id") < 10, F.col("id")).alias("sk"), "id")
-    found = number_new_rows(df, "sk", 9).collect()
-    assert len({row["sk"] for row in found}) == 1000
-    assert all(row["sk"] == row["id"] for row in found if row["id"] < 10)
-    assert min(row["sk"] for row in found if row["id"] >= 10) >= 10
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_new_numbers_are_dense_and_follow_the_key(spark, partitions):
+    keys = spark.range(0, 1000, 1, 5).select((F.col("id") * 7919 % 1000 * 3).alias("k")).repartition(partitions)
+    found, last = dense_numbers(keys, "k", "sk", 41)
+    assert last == 1041
+    assert rows(found.select("sk", "k")) == sorted(((42 + i, 3 * i) for i in range(1000)), key=repr)
+    none, last = dense_numbers(keys.filter("k < 0"), "k", "sk", 41)
+    assert none.count() == 0 and last == 41
 
 
 # Tables on disk
@@ -130,7 +133,7 @@ def _products(spark, *triples):
 
 
 def test_dimension_upsert(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "p"), schema.DIM_PRODUCT, surrogate="product_sk").create_if_absent()
+    table = VersionedTable(spark, str(tmp_path / "p"), schema.DIM_PRODUCT, "bucket", "product_sk").create_if_absent()
     dims.upsert_dimension(table, _products(spark, (1, "Cup", "Home"), (2, "Pen", "Office")), "product_id")
     before = {row["product_id"]: row for row in table.read().collect()}
     assert len({row["product_sk"] for row in before.values()}) == 2
@@ -154,7 +157,7 @@ def test_add_missing_appends_only_new_keys(spark, tmp_path):
 
 
 def test_rate_upsert_by_day_and_currency(spark, tmp_path):
-    table = VersionedTable(spark, str(tmp_path / "fx"), schema.DIM_FX_RATE).create_if_absent()
+    table = VersionedTable(spark, str(tmp_path / "fx"), schema.DIM_FX_RATE, "fx_year").create_if_absent()
     fx.upsert_fx_rates(table, b.rates(spark, ("2024-01-01", "EUR", "1.1"), ("2024-01-02", "EUR", "1.2")))
     fx.upsert_fx_rates(table, b.rates(spark, ("2024-01-02", "EUR", "1.3"), ("2024-01-02", "GBP", "1.4")))
     found = [(row["fx_date"].day, row["currency"], float(row["rate_to_usd"])) for row in table.read().collect()]

@@ -32,7 +32,7 @@ def _sources(spark, orders=ORDERS, items=ITEMS):
 def test_full_run_and_second_run(spark, tmp_path):
     warehouse = Warehouse(spark, str(tmp_path))
     first = warehouse.run(_sources(spark), AS_OF, loaded_at=datetime(2024, 6, 1))
-    assert first == ["hourly sales refreshed", "non_iso_currency: 1"]
+    assert first == ["hourly sales refreshed", "non_iso_currency: 1 (25.0%)"]
     before = {row["order_item_id"]: row for row in warehouse.fact.read().collect()}
     assert {n: float(row["line_amount_usd"]) for n, row in before.items()} == {1: 25.0, 2: 4.5, 3: 7.0, 4: 1.25}
     assert spark.table("sales_clean").count() == 2

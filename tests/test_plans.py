@@ -130,3 +130,14 @@ def test_hot_order_is_split_in_the_item_join(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_calendar_filters_prune_months_at_run_time(star):
+    """A filter on the calendar alone keeps the facts of other quarters from being read."""
+    found = metrics.weekend_revenue(star, quarters=[1])
+    scan = _fact_scan(_plan(found))
+    assert "dynamicpruning" in scan and "sales_month" in scan.split("PartitionFilters:")[1].split("dynamicpruning")[0]
+    everything = {(row["year"], row["quarter"]): row["units"] for row in metrics.weekend_revenue(star).collect()}
+    assert {(row["year"], row["quarter"]): row["units"] for row in found.collect()} == {
+        key: units for key, units in everything.items() if key[1] == 1
+    }
