@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from saleswh.llm.common import per_batch
+from saleswh.llm.common import kept, per_batch
 from saleswh.llm.encoding import encoder
 
 BLOCK = 4096
@@ -76,8 +76,14 @@ def running_totals(histogram: DataFrame) -> DataFrame:
 
 
 def token_counts(documents: DataFrame, tokenizer: str, end_tokens: int = 1) -> DataFrame:
-    """Histogram and totals in one frame: a row per distinct length."""
-    return running_totals(length_histogram(documents, tokenizer, end_tokens))
+    """Histogram and totals in one frame: a row per distinct length.
+
+    The histogram is stored, since its sums are read twice; the texts are encoded
+    once. Null and empty texts have the end tokens only, very long ones are
+    encoded in pieces, repeated rows count each, other columns are not read; no
+    rows in, none out.
+    """
+    return running_totals(kept(length_histogram(documents, tokenizer, end_tokens)))
 
 
 def at_limit(totals: DataFrame, limit: int) -> DataFrame:
