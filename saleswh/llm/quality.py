@@ -147,12 +147,17 @@ def first_model(names: list[str]) -> LabelModel:
     )
 
 
-def fit_label_model(votes: DataFrame, rounds: int = 12, prior_weight: float = 1.0) -> LabelModel:
+#: Documents that the hand-set first model counts for, whatever the size of the corpus.
+PRIOR_DOCUMENTS = 100
+
+
+def fit_label_model(votes: DataFrame, rounds: int = 12, prior_documents: float = PRIOR_DOCUMENTS) -> LabelModel:
     """Expectation-maximisation over the vote patterns of all documents.
 
     Every round is one aggregation over the pattern table, which returns one
-    row. The first model keeps the weight of ``prior_weight`` times the
-    documents, which holds the two classes to their meaning.
+    row. The first model keeps the weight of ``prior_documents`` in each class,
+    which gives the two classes their meaning and matters less the more
+    documents there are.
     """
     names = [c.removeprefix("vote_") for c in votes.columns if c.startswith("vote_")]
     patterns = kept(votes.groupBy(*(f"vote_{n}" for n in names)).agg(F.count("*").alias("n_docs")))
@@ -168,7 +173,7 @@ def fit_label_model(votes: DataFrame, rounds: int = 12, prior_weight: float = 1.
         row = weighed.agg(*(column.alias(key) for key, column in sums.items())).first()
         if not row["n"]:
             break
-        own = prior_weight * row["n"]
+        own = prior_documents
         weight = {1: row["g"] + own, 0: row["n"] - row["g"] + own}
         said = {
             name: {
