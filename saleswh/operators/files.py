@@ -58,6 +58,20 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(draft, hadoop.Path(path), options)
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the session's part of the shared folder."""
+    return f"{_scratch(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Deletes what this session has written there; call it when all results have been read."""
+    delete(spark, _scratch(spark))
+
+
+def _scratch(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/saleswh-{spark.sparkContext.applicationId}"
+
+
 def write_once(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """Writes ``df`` to the shared folder and reads it back, with its path.
 
@@ -65,7 +79,7 @@ def write_once(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     executors cost only the files still to be read.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/saleswh-{name}-{uuid.uuid4().hex}"
+    path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path), path
 

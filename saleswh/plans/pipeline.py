@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Sequence
 from datetime import date, datetime, timezone
 
@@ -19,7 +18,7 @@ from saleswh.operators.steps import run_steps
 from saleswh.operators.tables import VersionedTable
 from saleswh.plans import dims, fact, fx, quality, views
 from saleswh.plans.star import Star
-from saleswh.session import shared_dir, use_exact_decimals
+from saleswh.session import use_exact_decimals
 from saleswh.sources import conform, generators
 from saleswh.sources.bundle import Sources
 
@@ -114,7 +113,7 @@ class Warehouse:
             self.dim_fx_rate.read(),
         )
         checked = quality.with_broken(rows, self.dim_date.read(), self.dim_time.read())
-        path = f"{shared_dir(self.spark)}/saleswh-staged-{uuid.uuid4().hex}"
+        path = files.scratch_path(self.spark, "staged")
         counts = Observation()
         observed = checked.observe(counts, *quality.broken_counts())
         refused = F.size("broken") > 0

@@ -8,7 +8,6 @@ throughout and becomes double only in the last projection.
 from __future__ import annotations
 
 import json
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from datetime import date, datetime
@@ -18,12 +17,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from saleswh.operators.files import replace_text, write_once
+from saleswh.operators.files import replace_text, scratch_path, write_once
 from saleswh.operators.merge import insert_if_absent, merge_rows
 from saleswh.plans import dims, export, fact, fx, metrics, quality, sql, views
 from saleswh.plans.pipeline import Warehouse
 from saleswh.plans.star import Star
-from saleswh.session import shared_dir, use_exact_decimals
+from saleswh.session import use_exact_decimals
 from saleswh.sources import conform, generators, retail
 from saleswh.sources.bundle import Sources
 from saleswh.sources.fx_snapshot import read_snapshot
@@ -52,7 +51,7 @@ def _loaded(spark: SparkSession, folder: str, kind: str) -> tuple[Warehouse, Sta
     loads = {"retail": load_retail, "events": load_events, "twice": load_twice, "spoiled": load_spoiled}
     with _loading:
         if key not in _warehouses:
-            _warehouses[key] = loads[kind](spark, folder, f"{shared_dir(spark)}/saleswh-{kind}-{uuid.uuid4().hex}")
+            _warehouses[key] = loads[kind](spark, folder, scratch_path(spark, kind))
         return _warehouses[key]
 
 
@@ -249,7 +248,7 @@ def _fx_cross_rates(spark: SparkSession, sources: Sources) -> DataFrame:
 
 def _fx_snapshot_file(spark: SparkSession, sources: Sources) -> DataFrame:
     """Rates of the order currencies from a stored snapshot."""
-    path = f"{shared_dir(spark)}/saleswh-snapshot-{uuid.uuid4().hex}.json"
+    path = f"{scratch_path(spark, 'snapshot')}.json"
     rates = {"base": "EUR", "date": "2024-01-01", "rates": retail.EUR_QUOTES}
     replace_text(spark, path, json.dumps(rates))
     return fx.currency_rates(
@@ -436,7 +435,7 @@ def _load_refusals(spark: SparkSession, folder: str) -> DataFrame:
 
 def _csv_round_trip(spark: SparkSession, folder: str) -> DataFrame:
     """Three of the exported reports, read back from their files."""
-    path = f"{shared_dir(spark)}/saleswh-csv-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "csv")
     export.export_reports(retail_star(spark, folder), path, *retail.RETAIL_WINDOW)
     labels = {
         "revenue_by_category": "product_category",
