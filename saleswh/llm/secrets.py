@@ -41,7 +41,8 @@ NAME_WORDS = {
     "encryption": 1.5, "access": 1.0, "api": 1.0, "key": 1.5,
 }
 LEAST_NAME, LEAST_SCORE, LEAST_LITERAL = 2.5, 5.0, 8
-HINTS = "passw|passphrase|pwd|secret|token|credential|apikey|key|auth|private|bearer"
+#: What a text must hold to be lexed: some word that counts in a name.
+HINTS = "|".join(NAME_WORDS)
 ASSIGNS = "[:=]"
 
 _LEX = re.compile(

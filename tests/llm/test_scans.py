@@ -133,3 +133,13 @@ def test_reordered_and_copied_passages_are_found(spark, block_bytes):
     assert sorted(map(repr, clean.collect())) == sorted(repr(r) for r in docs.collect() if r.doc_id not in (1, 2, 5))
     assert dec.contaminated_pairs(docs, benchmark.filter("false")).count() == 0
     assert dec.contaminated_pairs(documents(spark, []), benchmark).count() == 0
+
+
+def test_names_of_every_scored_word_are_lexed(spark):
+    """The check that spares a text the lexer knows every word that counts in a name."""
+    texts = [f'{a}_{b} = "Zx81kq0Pm4vT9w"' for a in secrets.NAME_WORDS for b in secrets.NAME_WORDS]
+    found = secrets.scan_secrets(documents(spark, list(enumerate(texts)))).collect()
+    for r in found:
+        literal = bool(secrets.literal_spans(texts[r.doc_id]))
+        assert ("literal" in r.spans) == literal
+    assert sum("literal" in r.spans for r in found) > 200
