@@ -37,6 +37,41 @@ def _grouped(places: np.ndarray, chars: np.ndarray, queues: list[list[np.ndarray
         start = stop
 
 
+#: A wave that has gone on for so many steps and holds few places is followed place by place.
+MANY_STEPS, FEW_PLACES = 64, 32
+
+
+def _follow(
+    wave: np.ndarray, c: int, text: np.ndarray, follows: np.ndarray
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Places of bucket ``c`` that a first wave induces, wave by wave, and those it induces in other buckets.
+
+    The place before each one is induced if it ``follows``. A long run of one
+    character is a long chain of small waves.
+    """
+    done, made = [wave], []
+    steps = 0
+    while len(wave):
+        steps += 1
+        if steps > MANY_STEPS and len(wave) <= FEW_PLACES:
+            places, elsewhere, places_made = wave.tolist(), [], []
+            while places:
+                before = [place - 1 for place in places if place and follows[place - 1]]
+                elsewhere += [place for place in before if text[place] != c]
+                places = [place for place in before if text[place] == c]
+                places_made += places
+            done.append(np.array(places_made, np.int64))
+            made.append(np.array(elsewhere, np.int64))
+            break
+        before = wave[wave > 0] - 1
+        before = before[follows[before]]
+        same = text[before] == c
+        made.append(before[~same])
+        wave = before[same]
+        done.append(wave)
+    return done, made
+
+
 def _induce_by_bucket(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray, alphabet: int) -> np.ndarray:
     """All suffixes in order, from the leftmost S-type places in order."""
     none = np.empty(0, np.int64)
@@ -45,17 +80,9 @@ def _induce_by_bucket(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray,
     queues: list[list[np.ndarray]] = [[] for _ in range(alphabet)]
     queues[int(text[-1])].append(np.array([len(text) - 1]))
     larger: list[np.ndarray] = []
+    not_smaller = ~smaller
     for c in range(alphabet):
-        parts, made = queues[c], []
-        wave = np.concatenate(parts) if parts else none
-        done = [wave]
-        while len(wave):
-            before = wave[wave > 0] - 1
-            before = before[~smaller[before]]
-            same = text[before] == c
-            made.append(before[~same])
-            wave = before[same]
-            done.append(wave)
+        done, made = _follow(np.concatenate(queues[c]) if queues[c] else none, c, text, not_smaller)
         larger.append(np.concatenate(done))
         made.extend(part - 1 for part in lms[c])
         if made:
@@ -64,16 +91,7 @@ def _induce_by_bucket(text: np.ndarray, smaller: np.ndarray, seeds: np.ndarray,
     queues = [[] for _ in range(alphabet)]
     pieces: list[np.ndarray] = []
     for c in range(alphabet - 1, -1, -1):
-        parts, made = queues[c], []
-        wave = np.concatenate(parts) if parts else none
-        done = [wave]
-        while len(wave):
-            before = wave[wave > 0] - 1
-            before = before[smaller[before]]
-            same = text[before] == c
-            made.append(before[~same])
-            wave = before[same]
-            done.append(wave)
+        done, made = _follow(np.concatenate(queues[c]) if queues[c] else none, c, text, smaller)
         pieces.extend(done)
         back = larger[c][::-1]
         pieces.append(back)
@@ -153,6 +171,11 @@ def _named(text: np.ndarray, leftmost: np.ndarray, sorted_places: np.ndarray) ->
     open_pairs = np.flatnonzero(equal)
     step = 0
     while len(open_pairs):
+        if step > MANY_STEPS and len(open_pairs) <= FEW_PLACES:
+            for pair in open_pairs.tolist():
+                size = int(length[a[pair]])
+                equal[pair] = np.array_equal(text[a[pair] : a[pair] + size], text[b[pair] : b[pair] + size])
+            break
         differ = text[a[open_pairs] + step] != text[b[open_pairs] + step]
         equal[open_pairs[differ]] = False
         step += 1
@@ -161,6 +184,20 @@ def _named(text: np.ndarray, leftmost: np.ndarray, sorted_places: np.ndarray) ->
     return np.concatenate(([0], np.cumsum(~equal)))
 
 
+def _agreeing(text: np.ndarray, i: int, j: int) -> int:
+    """Characters that agree from two places on, none of them 0; compared in pieces of growing size."""
+    total, size = 0, 256
+    while max(i, j) + total < len(text):
+        one, other = text[i + total : i + total + size], text[j + total : j + total + size]
+        n = min(len(one), len(other))
+        ends = np.flatnonzero((one[:n] != other[:n]) | (one[:n] == 0))
+        if len(ends):
+            return total + int(ends[0])
+        total += n
+        size *= 2
+    return total
+
+
 def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     """Per place, how much its suffix shares with the one before it in order; 0 in ``text`` ends every match.
 
@@ -179,6 +216,10 @@ def common_prefixes(text: np.ndarray, order: np.ndarray) -> np.ndarray:
     padded = np.append(text, 0)
     step = 0
     while len(active):
+        if step > MANY_STEPS and len(active) <= FEW_PLACES:
+            for at in active.tolist():
+                length[at] = step + _agreeing(text, int(places[at]) + step, int(before[places[at]]) + step)
+            break
         i, j = places[active] + step, before[places[active]] + step
         same = (padded[np.minimum(i, n)] == padded[np.minimum(j, n)]) & (padded[np.minimum(i, n)] != 0)
         active = active[same]
