@@ -96,13 +96,14 @@ def upsert_fact(table: VersionedTable, rows: DataFrame, loaded_at: datetime) ->
     months = sorted({day // 100 for day in days})
     new = changes.filter("before_day IS NULL")
     numbers, highest = dense_numbers(new, KEY, "sales_item_sk", table.highest())
-    changed = updates.join(changes.select(KEY), KEY, "left_semi").join(numbers, KEY, "left")
+    # A first load changes everything it brings.
+    changed = updates if state is None else updates.join(changes.select(KEY), KEY, "left_semi")
+    numbered = changed.join(numbers, KEY, "left")
     merged = merge_rows(
-        table.read().filter(F.col(FACT_PARTITION).isin(months)), changed, [KEY], kept=["sales_item_sk", "created_at"]
+        table.read().filter(F.col(FACT_PARTITION).isin(months)), numbered, [KEY], kept=["sales_item_sk", "created_at"]
     )
-    # Rebalancing groups a month into few files and splits a month that is too
-    # large for one task; sorted files let date filters skip row groups.
-    spread = merged.hint("rebalance", FACT_PARTITION).sortWithinPartitions(FACT_PARTITION, "date_key")
+    # Sorted files let date filters skip row groups.
+    spread = _by_month(merged).sortWithinPartitions(FACT_PARTITION, "date_key")
     table.replace(spread, months, highest, {**table.notes(), "index": _next_index(index, state, changes)})
     return days
 
@@ -186,7 +187,7 @@ def refresh_hourly(
     if changed and at == now:
         return
     if before is None or at != before:
-        table.replace(hourly_sales(fact.read(), dim_date, dim_time), notes=notes)
+        table.replace(_by_month(hourly_sales(fact.read(), dim_date, dim_time)), notes=notes)
         return
     months = sorted({day // 100 for day in days})
     touched = table.spark.createDataFrame([(day,) for day in days], "date_key int")
@@ -194,4 +195,9 @@ def refresh_hourly(
     again = fact.read().filter(in_months).join(touched, "date_key", "left_semi")
     rest = table.read(stored=True).filter(in_months)
     untouched = rest.join(touched, keys.date_key(F.col("date")) == touched["date_key"], "left_anti")
-    table.replace(untouched.unionByName(hourly_sales(again, dim_date, dim_time)), months, notes=notes)
+    table.replace(_by_month(untouched.unionByName(hourly_sales(again, dim_date, dim_time))), months, notes=notes)
+
+
+def _by_month(rows: DataFrame) -> DataFrame:
+    """Months in few files each, and in several tasks where one would be too large."""
+    return rows.hint("rebalance", FACT_PARTITION)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import shutil
 import threading
 from datetime import datetime
 from decimal import Decimal
@@ -35,11 +36,18 @@ def _sources(spark, moved=(), only=None, quoted=None, customers=CUSTOMERS, items
     return b.sources(spark, orders, items, PRODUCTS, customers, quoted)
 
 
+@pytest.fixture(scope="module")
+def loaded(spark, tmp_path_factory):
+    root = tmp_path_factory.mktemp("loaded")
+    Warehouse(spark, str(root)).run(_sources(spark), AS_OF, loaded_at=datetime(2024, 6, 1))
+    return root
+
+
 @pytest.fixture
-def warehouse(spark, tmp_path):
-    warehouse = Warehouse(spark, str(tmp_path))
-    warehouse.run(_sources(spark), AS_OF, loaded_at=datetime(2024, 6, 1))
-    return warehouse
+def warehouse(spark, loaded, tmp_path):
+    """A copy of the loaded warehouse: pointer files name folders relative to their table."""
+    shutil.copytree(loaded, tmp_path, dirs_exist_ok=True)
+    return Warehouse(spark, str(tmp_path))
 
 
 def _folders(warehouse):
@@ -84,7 +92,7 @@ def test_only_months_that_change_are_rewritten(spark, warehouse):
 
 
 def test_an_item_moves_on_from_where_the_load_before_put_it(spark, warehouse):
-    for n, moved in enumerate(([3], [], [3, 7])):
+    for n, moved in enumerate(([3], [7])):
         warehouse.run(_sources(spark, moved=moved), AS_OF, loaded_at=datetime(2024, 6, 2 + n))
         found = _facts(warehouse)
         assert len(found) == warehouse.fact.read().count() == 80
