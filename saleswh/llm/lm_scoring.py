@@ -37,6 +37,7 @@ END = 0  # the hash of the end token; no word hashes to it in practice
 SMOOTHING = 0.1
 TOKENS_PER_WORKER, ROUNDS = 4_000_000, 3
 PARAMETER_BLOCKS = 64
+COPIES_AT_ONCE = 64
 
 
 @dataclass(frozen=True)
@@ -168,8 +169,12 @@ def training_symbols(training: DataFrame, sent: Broadcast[Corpus]) -> DataFrame:
             )
             row += n
 
-    workers = max(1, round(sent.value.tokens / TOKENS_PER_WORKER))
-    return kept(per_batch(training.select("text"), number, "turn int, symbols binary").repartition(workers))
+    numbered = per_batch(training.select("text"), number, "turn int, symbols binary")
+    return kept(numbered.repartition(_workers(sent.value)))
+
+
+def _workers(corpus: Corpus) -> int:
+    return max(1, round(corpus.tokens / TOKENS_PER_WORKER))
 
 
 CONTEXTS = 64
@@ -204,10 +209,23 @@ def _followers(texts: DataFrame) -> np.ndarray:
 
 
 def _mean_block(copies: pa.Table) -> pa.Table:
-    """The mean of one block of parameters over all workers."""
-    values = sum(np.frombuffer(x, "<f4").astype(np.float64) for x in copies.column("values").to_pylist())
-    mean = (values / copies.num_rows).astype("<f4").tobytes()
-    return pa.table({"block": copies.column("block").slice(0, 1), "values": pa.array([mean], pa.binary())})
+    """The mean of some copies of one block of parameters, each weighing as many workers as it stands for."""
+    n = copies.column("n").to_numpy()
+    values = sum(w * np.frombuffer(x, "<f4").astype(np.float64) for w, x in zip(n, copies.column("values").to_pylist(), strict=True))
+    mean = (values / n.sum()).astype("<f4").tobytes()
+    return pa.table(
+        {"block": copies.column("block").slice(0, 1), "worker": copies.column("worker").slice(0, 1), "n": [n.sum()], "values": pa.array([mean], pa.binary())}
+    )
+
+
+def _mean_parameters(copies: DataFrame, workers: int) -> pa.Table:
+    """The means of all blocks, over some ``COPIES_AT_ONCE`` workers at a time, and those over one another's."""
+    schema = "block int, worker int, n long, values binary"
+    while workers > COPIES_AT_ONCE:
+        some = copies.withColumn("worker", F.floor(F.col("worker") / COPIES_AT_ONCE).cast("int"))
+        copies = some.groupBy("block", "worker").applyInArrow(_mean_block, schema)
+        workers = -(-workers // COPIES_AT_ONCE)
+    return copies.groupBy("block").applyInArrow(_mean_block, schema).toArrow()
 
 
 def train_model(training: DataFrame, corpus: Corpus) -> tuple[recurrent.Parameters, recurrent.Symbols]:
@@ -234,13 +252,18 @@ def train_model(training: DataFrame, corpus: Corpus) -> tuple[recurrent.Paramete
                 trained = recurrent.train(*sent.value, symbols, starts, rate=0.01 / (1 + turn))
                 blocks = np.array_split(recurrent.flat(trained).astype("<f4"), PARAMETER_BLOCKS)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(range(len(blocks)), pa.int32()), pa.array([x.tobytes() for x in blocks], pa.binary())],
-                    names=["block", "values"],
+                    [
+                        pa.array(range(len(blocks)), pa.int32()),
+                        pa.array([TaskContext.get().partitionId()] * len(blocks), pa.int32()),
+                        pa.array([1] * len(blocks), pa.int64()),
+                        pa.array([x.tobytes() for x in blocks], pa.binary()),
+                    ],
+                    names=["block", "worker", "n", "values"],
                 )
 
         own = texts.filter(F.col("turn") == turn).select("symbols")
-        copies = per_batch(own, learn, "block int, values binary")
-        found = copies.groupBy("block").applyInArrow(_mean_block, "block int, values binary").toArrow()
+        copies = per_batch(own, learn, "block int, worker int, n long, values binary")
+        found = _mean_parameters(copies, _workers(corpus))
         if found.num_rows:
             blocks = dict(zip(found.column("block").to_pylist(), found.column("values").to_pylist(), strict=True))
             p = recurrent.unflat(np.frombuffer(b"".join(blocks[i] for i in sorted(blocks)), "<f4"), p)

@@ -16,6 +16,8 @@ HIDDEN = 24
 CLASS_WORDS = 64
 WINDOW = 16
 LANES, UPDATES = (8, 256), 256
+#: Rows of scores worked on at once, so that they stay in the cache.
+BLOCK = 2048
 Parameters = dict[str, np.ndarray]
 
 
@@ -72,26 +74,37 @@ def step(p: Parameters, h: np.ndarray, symbol: np.ndarray) -> tuple[np.ndarray,
     return h + update * (new - h), update, reset, held, new
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _is_tame(weights: np.ndarray, bias: np.ndarray) -> bool:
+    """Whether no state, between -1 and 1, can bring scores that overflow or that all vanish."""
+    return bool(np.abs(weights).sum(axis=0).max() < 60 and -20 < bias.max() < 20)
+
+
+def _exponentials(x: np.ndarray, target: np.ndarray, tame: bool) -> tuple[np.ndarray, np.ndarray]:
+    """``x`` turned into exponentials in place, the scores of the targets, and the sums of the rows."""
+    if not tame:
+        x -= x.max(axis=1, keepdims=True)
+    picked = x[np.arange(len(x)), target]
+    np.exp(x, out=x)
+    return picked, x @ np.ones(x.shape[1], x.dtype)
 
 
 def log_likelihood(p: Parameters, states: np.ndarray, classes: np.ndarray, words: np.ndarray) -> np.ndarray:
     """Natural log of each symbol's chance given the state before it; ``words`` is -1 for ending groups."""
     out = np.empty(len(states), np.float32)
-    for at in range(0, len(states), 32768):
-        part = slice(at, at + 32768)
-        chance = _log_softmax(states[part] @ p["class_out"] + p["class_bias"])
-        out[part] = chance[np.arange(len(chance)), classes[part]]
+    tame = _is_tame(p["class_out"], p["class_bias"])
+    for at in range(0, len(states), BLOCK):
+        part = slice(at, at + BLOCK)
+        picked, total = _exponentials(states[part] @ p["class_out"] + p["class_bias"], classes[part], tame)
+        out[part] = picked - np.log(total)
     order = np.flatnonzero(words >= 0)
-    order = order[np.argsort(classes[order], kind="stable")]
+    order = order[np.argsort(classes[order].astype(np.int16), kind="stable")]
     cuts = np.searchsorted(classes[order], np.arange(len(p["word_out"]) + 1))
     for c, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)):
-        for start in range(a, b, 32768):
-            rows = order[start : min(b, start + 32768)]
-            chance = _log_softmax(states[rows] @ p["word_out"][c] + p["word_bias"][c])
-            out[rows] += chance[np.arange(len(rows)), words[rows]]
+        tame = _is_tame(p["word_out"][c], p["word_bias"][c])
+        for start in range(a, b, BLOCK):
+            rows = order[start : min(b, start + BLOCK)]
+            picked, total = _exponentials(states[rows] @ p["word_out"][c] + p["word_bias"][c], words[rows], tame)
+            out[rows] += picked - np.log(total)
     return out
 
 
@@ -133,14 +146,15 @@ def score(p: Parameters, known: Symbols, symbols: np.ndarray, edges: np.ndarray,
 
 def gradients(
     p: Parameters, known: Symbols, h: np.ndarray, symbols: np.ndarray, real: np.ndarray, first: np.ndarray
-) -> tuple[float, Parameters, np.ndarray]:
-    """Loss and gradients of one window (steps x lanes), and the states behind it.
+) -> tuple[float, Parameters, np.ndarray, np.ndarray]:
+    """Loss and gradients of one window (steps x lanes), the symbols met, and the states behind it.
 
-    ``real``: symbols that count; ``first``: a text starts here, so the state is new.
+    ``real``: symbols that count; ``first``: a text starts here, so the state is
+    new. The gradient of ``input`` has a row for each symbol met, all others are 0.
     """
     steps, lanes = symbols.shape
     k = h.shape[1]
-    g = {name: np.zeros_like(value) for name, value in p.items()}
+    g = {name: np.zeros_like(value) for name, value in p.items() if name != "input"}
     before, kept = [], []
     for t in range(steps):
         h = np.where(first[t][:, None], np.float32(0), h)
@@ -152,24 +166,26 @@ def gradients(
     count = max(float(weight.sum()), 1.0)
     of_class, in_class = known.of_class[flat_symbols], known.in_class[flat_symbols]
     rows = np.arange(len(states))
-    chance = _log_softmax(states @ p["class_out"] + p["class_bias"])
-    loss = -float((chance[rows, of_class] * weight).sum())
-    d = np.exp(chance)
-    d[rows, of_class] -= 1
-    d *= (weight / count)[:, None]
+    d = states @ p["class_out"] + p["class_bias"]
+    picked, total = _exponentials(d, of_class, _is_tame(p["class_out"], p["class_bias"]))
+    loss = -float(((picked - np.log(total)) * weight).sum())
+    share = weight / count
+    d *= (share / total)[:, None]
+    d[rows, of_class] -= share
     g["class_out"], g["class_bias"] = states.T @ d, d.sum(axis=0)
     d_states = d @ p["class_out"].T
     order = np.flatnonzero((in_class >= 0) & (weight > 0))
-    order = order[np.argsort(of_class[order], kind="stable")]
+    order = order[np.argsort(of_class[order].astype(np.int16), kind="stable")]
     cuts = np.searchsorted(of_class[order], np.arange(len(p["word_out"]) + 1))
     for c in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
         own = order[cuts[c] : cuts[c + 1]]
-        chance = _log_softmax(states[own] @ p["word_out"][c] + p["word_bias"][c])
-        loss -= float(chance[np.arange(len(own)), in_class[own]].sum())
-        d = np.exp(chance)
-        d[np.arange(len(own)), in_class[own]] -= 1
-        d /= count
-        g["word_out"][c], g["word_bias"][c] = states[own].T @ d, d.sum(axis=0)
+        own_states, target = states[own], in_class[own]
+        d = own_states @ p["word_out"][c] + p["word_bias"][c]
+        picked, total = _exponentials(d, target, _is_tame(p["word_out"][c], p["word_bias"][c]))
+        loss -= float((picked - np.log(total)).sum())
+        d *= (np.float32(1 / count) / total)[:, None]
+        d[np.arange(len(own)), target] -= np.float32(1 / count)
+        g["word_out"][c], g["word_bias"][c] = own_states.T @ d, d.sum(axis=0)
         d_states[own] += d @ p["word_out"][c].T
     d_states = d_states.reshape(steps, lanes, k)
     d_h = np.zeros((lanes, k), np.float32)
@@ -190,8 +206,8 @@ def gradients(
     order = np.argsort(flat_symbols, kind="stable")
     found = flat_symbols[order]
     starts = np.flatnonzero(np.concatenate(([True], found[1:] != found[:-1])))
-    g["input"][found[starts]] = np.add.reduceat(d_input.reshape(-1, 3 * k)[order], starts)
-    return loss / count, g, h
+    g["input"] = np.add.reduceat(d_input.reshape(-1, 3 * k)[order], starts)
+    return loss / count, g, found[starts], h
 
 
 def train(
@@ -218,22 +234,27 @@ def train(
     n = 0
     updates = -(-long // WINDOW)
     for at in range(0, long, WINDOW):
-        _, g, h = gradients(p, known, h, rows[at : at + WINDOW], real[at : at + WINDOW], first[at : at + WINDOW])
+        _, g, met, h = gradients(p, known, h, rows[at : at + WINDOW], real[at : at + WINDOW], first[at : at + WINDOW])
         # Plain floats: a numpy scalar of 64 bits would widen every array below.
         size = math.sqrt(sum(float(np.vdot(x, x)) for x in g.values()))
         n += 1
         speed = rate * (1 - 0.9 * n / updates) * math.sqrt(1 - 0.99**n) / (1 - 0.9**n)
         for name, value in g.items():
+            # Input rows of symbols that the window does not hold stay as they are, with their means.
+            at_rows = met if name == "input" else slice(None)
             value *= min(1.0, 1.0 / (size + 1e-12))
-            mean[name] *= 0.9
-            mean[name] += 0.1 * value
+            own_mean, own_square = mean[name][at_rows], square[name][at_rows]
+            own_mean *= 0.9
+            own_mean += 0.1 * value
             value *= value
             value *= 0.01
-            square[name] *= 0.99
-            square[name] += value
-            np.sqrt(square[name], out=value)
+            own_square *= 0.99
+            own_square += value
+            if name == "input":
+                mean[name][met], square[name][met] = own_mean, own_square
+            np.sqrt(own_square, out=value)
             value += 1e-6
-            np.divide(mean[name], value, out=value)
+            np.divide(own_mean, value, out=value)
             value *= speed
-            p[name] -= value
+            p[name][at_rows] -= value
     return p

@@ -7,6 +7,7 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from saleswh.llm import lm_scoring, quality, recurrent, url_filter
 from saleswh.llm.registry import URL_RULES
@@ -29,7 +30,10 @@ def test_gradients_equal_differences():
     real, first = np.ones((6, 4), bool), np.zeros((6, 4), bool)
     real[5, 3], first[0], first[3, 1] = False, True, True
     at = lambda: recurrent.gradients(p, known, np.zeros((4, 5)), symbols, real, first)
-    gradient = at()[1]
+    _, gradient, met, _ = at()
+    whole = np.zeros_like(p["input"])
+    whole[met] = gradient["input"]
+    gradient["input"] = whole
     for name, value in p.items():
         flat = value.ravel()
         for i in pick.integers(0, flat.size, 3):
@@ -81,6 +85,67 @@ def test_base_scores_are_exact_and_the_model_learns(spark, monkeypatch):
     assert lm_scoring.score_documents(documents(spark, [])).count() == 0
 
 
+def test_whole_scores_equal_a_plain_version(spark, monkeypatch):
+    """Every token in turn: its class, its word within the class, or a rare word's share of its ending group."""
+    n = lm_scoring.SYMBOL_WORDS
+    monkeypatch.setattr(lm_scoring, "FREQUENT_WORDS", n + 200)
+    rows = odd_rows()[:5] + odd_rows()[6:] + [(i, " ".join(words(i, 300 + i, 7000))) for i in range(60)]
+    made = []
+
+    def fixed(training, corpus):
+        known = lm_scoring.word_classes(corpus, np.random.default_rng(1).integers(0, 5, (n, lm_scoring.CONTEXTS)))
+        share = np.random.default_rng(2).random((n // 64, 64))
+        p = recurrent.first_parameters(np.full(n // 64 + lm_scoring.ENDINGS, 0.01), share, n + lm_scoring.ENDINGS)
+        p["word_out"] = np.random.default_rng(3).standard_normal(p["word_out"].shape).astype(np.float32)
+        made.append((p, known, corpus))
+        return p, known
+
+    monkeypatch.setattr(lm_scoring, "train_model", fixed)
+    found = lm_scoring.score_documents(documents(spark, rows)).collect()
+    p, known, corpus = made[0]
+    texts = [(t or "").encode().lower().split() for _, t in rows]
+    held = [d is not None and zlib.crc32(str(d).encode()) % 10 == 0 for d, _ in rows]
+    counts = Counter(w for ws, h in zip(texts, held, strict=True) if not h for w in [*ws, None])
+    rank = {int(w): i for i, w in enumerate(corpus.words[:n])}
+    ending = lambda w: zlib.crc32(w[-3:]) % lm_scoring.ENDINGS
+    number = lambda w: 0 if w is None else int(np.uint64(xxhash.xxh64_intdigest(w)).view(np.int64))
+    tokens, kinds = Counter(), Counter()
+    for w, times in counts.items():
+        if number(w) not in rank:
+            tokens[ending(w)] += times
+            kinds[ending(w)] += 1
+    want = []
+    for (doc_id, _), ws in zip(rows, texts, strict=True):
+        h, total = np.zeros((1, recurrent.HIDDEN), np.float32), 0.0
+        for w in [*ws, None]:
+            symbol = rank.get(number(w), None)
+            group = None if symbol is not None else ending(w)
+            symbol = n + group if symbol is None else symbol
+            scores = (h @ p["class_out"] + p["class_bias"])[0].astype(float)
+            c, i = known.of_class[symbol], known.in_class[symbol]
+            total += scores[c] - np.log(np.exp(scores).sum())
+            if i >= 0:
+                scores = (h @ p["word_out"][c] + p["word_bias"][c])[0].astype(float)
+                total += scores[i] - np.log(np.exp(scores).sum())
+            else:
+                total += math.log((counts[w] + 0.1) / (tokens[group] + 0.1 * (kinds[group] + 1)))
+            h = recurrent.step(p, h, np.array([symbol]))[0]
+        want.append((repr(doc_id), total / math.log(10)))
+    got = sorted((repr(r.doc_id), r.score) for r in found)
+    assert [a for a, _ in got] == [a for a, _ in sorted(want)]
+    assert np.allclose([x for _, x in got], [x for _, x in sorted(want)], rtol=1e-4, atol=1e-3)
+
+
+def test_means_over_many_workers(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "COPIES_AT_ONCE", 3)
+    values = np.random.default_rng(5).random((20, 2, 4)).astype("<f4")
+    rows = [(b, w, 1, values[w, b].tobytes()) for w in range(20) for b in range(2)]
+    copies = spark.createDataFrame(rows, "block int, worker int, n long, values binary")
+    found = lm_scoring._mean_parameters(copies, 20).to_pylist()
+    by_block = {r["block"]: np.frombuffer(r["values"], "<f4") for r in found}
+    assert all(np.allclose(by_block[b], values[:, b].mean(axis=0), atol=1e-6) for b in range(2)) and len(found) == 2
+
+
 def test_every_training_document_is_learned_from_once(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "TOKENS_PER_WORKER", 4000)
     # More than 1.5 million training tokens, each text with its own most frequent words.
