@@ -1,14 +1,15 @@
 """Token files: id sequences per shard, shortened by a Re-Pair grammar and read back at random places.
 
 A file is Parquet; each row is a shard of consecutive documents. Frequent pairs
-of ids are replaced by new symbols, round by round; the shard stores the rules,
-how many ids each symbol stands for, and the shortened sequence. A document is
-decoded alone: sums of the expansion lengths tell which symbols hold its ids.
+of ids are replaced by new symbols, round by round, until no pair pays for its
+rule or the 16-bit symbols are used up; the shard stores the rules, how many ids
+each of them stands for, the shortened sequence, and a mark every few thousand
+symbols: the ids before it. A document is decoded alone: the marks and a few
+thousand lengths tell which symbols hold its ids.
 """
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from collections.abc import Iterator
 
@@ -20,31 +21,36 @@ from pyspark.sql import functions as F
 
 from saleswh.llm.common import per_batch
 from saleswh.llm.encoding import encoder
-from saleswh.session import shared_dir
+from saleswh.operators.files import scratch_path
 
 SHARD_SCHEMA = (
     "part int, shard int, ids_before long, n_docs int, n_ids long, first_symbol int, "
-    "doc_ids binary, doc_nulls binary, doc_sizes binary, rules binary, symbols binary"
+    "doc_ids binary, doc_nulls binary, doc_sizes binary, rules binary, rule_sizes binary, symbols binary, marks binary"
 )
 #: Symbols are written as 16-bit numbers; ids and rules share them.
 SYMBOLS = 1 << 16
 BUCKET_BITS = 20
+#: A rule takes two numbers and a length, eight bytes; each use of it saves two.
+LEAST_USES = 5
+MARK_EVERY = 4096
 
 
-def _frequent_pairs(symbols: np.ndarray, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs seen ``least`` times or more, most frequent first, and their counts.
+def _buckets(pairs: np.ndarray) -> np.ndarray:
+    """A hash bucket per pair."""
+    return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS)
+
+
+def _frequent_pairs(pair: np.ndarray, bucket: np.ndarray, least: int, most: int) -> np.ndarray:
+    """Pairs seen ``least`` times or more, most frequent first.
 
     Pairs are counted by a hash bucket first; only those of full buckets are
     counted exactly.
     """
-    pair = (symbols[:-1].astype(np.uint64) << np.uint64(32)) | symbols[1:].astype(np.uint64)
-    bucket = ((pair * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BUCKET_BITS)).astype(np.int64)
     full = np.bincount(bucket, minlength=1 << BUCKET_BITS) >= least
     found, count = np.unique(pair[full[bucket]], return_counts=True)
     keep = count >= least
     found, count = found[keep], count[keep]
-    order = np.lexsort((found, -count))[:most]
-    return found[order], count[order]
+    return found[np.lexsort((found, -count))[:most]]
 
 
 def _apart(pairs: np.ndarray) -> np.ndarray:
@@ -52,43 +58,37 @@ def _apart(pairs: np.ndarray) -> np.ndarray:
 
     Occurrences of such pairs cannot overlap, apart from runs of one symbol.
     """
-    lefts: set[int] = set()
-    rights: set[int] = set()
+    lefts, rights = bytearray(SYMBOLS), bytearray(SYMBOLS)
     chosen = []
-    for i, (a, b) in enumerate(zip((pairs >> np.uint64(32)).tolist(), (pairs & np.uint64(2**32 - 1)).tolist(), strict=True)):
-        if a in rights or b in lefts or (a == b and (a in lefts or b in rights)):
+    for i, (a, b) in enumerate(zip((pairs >> 16).tolist(), (pairs & 0xFFFF).tolist(), strict=True)):
+        if rights[a] or lefts[b] or (a == b and (lefts[a] or rights[b])):
             continue
-        lefts.add(a)
-        rights.add(b)
+        lefts[a] = rights[b] = 1
         chosen.append(i)
     return pairs[np.array(chosen, np.int64)]
 
 
 def compress(
-    ids: np.ndarray, first_symbol: int, rounds: int = 4, least: int = 24, per_round: int = 4096
+    ids: np.ndarray, first_symbol: int, least: int = LEAST_USES, per_round: int = 4096
 ) -> tuple[np.ndarray, np.ndarray]:
     """The shortened sequence and its rules: row i is what symbol ``first_symbol + i`` stands for.
 
-    Stops when no pair is seen ``least`` times, after ``rounds`` or when the
-    16-bit symbols are used up.
+    Stops when no pair is seen ``least`` times or the 16-bit symbols are used up.
     """
     symbols = ids.astype(np.uint32)
     rules = [np.empty((0, 2), np.uint32)]
     made = first_symbol
-    for _ in range(rounds):
-        room = min(per_round, SYMBOLS - made)
-        if len(symbols) < 2 or room <= 0:
-            break
-        pairs, _ = _frequent_pairs(symbols, least, room)
-        pairs = _apart(pairs)
+    while len(symbols) > 1 and made < SYMBOLS:
+        # Two 16-bit symbols in one number.
+        pair = (symbols[:-1] << np.uint32(16)) | symbols[1:]
+        bucket = _buckets(pair)
+        pairs = np.sort(_apart(_frequent_pairs(pair, bucket, least, min(per_round, SYMBOLS - made))))
         if not len(pairs):
             break
-        order = np.argsort(pairs)
-        pairs = pairs[order]
-        left = np.zeros(SYMBOLS, bool)
-        left[(pairs >> np.uint64(32)).astype(np.int64)] = True
-        at = np.flatnonzero(left[symbols[:-1]])
-        here = (symbols[at].astype(np.uint64) << np.uint64(32)) | symbols[at + 1].astype(np.uint64)
+        wanted = np.zeros(1 << BUCKET_BITS, bool)
+        wanted[_buckets(pairs)] = True
+        at = np.flatnonzero(wanted[bucket])
+        here = pair[at]
         rule = np.minimum(np.searchsorted(pairs, here), len(pairs) - 1)
         hit = pairs[rule] == here
         at, rule = at[hit], rule[hit]
@@ -103,11 +103,19 @@ def compress(
         stay = np.ones(len(symbols), bool)
         stay[at + 1] = False
         symbols = symbols[stay]
-        rules.append(np.stack([(pairs >> np.uint64(32)), pairs & np.uint64(2**32 - 1)], axis=1).astype(np.uint32))
+        rules.append(np.stack([pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)], axis=1))
         made += len(pairs)
     return symbols, np.concatenate(rules)
 
 
+def sizes_of(rules: np.ndarray, first_symbol: int) -> np.ndarray:
+    """How many ids each symbol stands for."""
+    size = [1] * first_symbol
+    for a, b in rules.tolist():
+        size.append(size[a] + size[b])
+    return np.array(size, np.int64)
+
+
 def expansions(rules: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per symbol its ids in one flat array: where they start, how many, and the array."""
     size = np.ones(first_symbol + len(rules), np.int64)
@@ -130,13 +138,48 @@ def expand(symbols: np.ndarray, rules: np.ndarray, first_symbol: int) -> np.ndar
     return flat[at]
 
 
-def expand_range(symbols: np.ndarray, rules: np.ndarray, first_symbol: int, start: int, stop: int) -> np.ndarray:
-    """Ids ``start`` to ``stop`` of a shard; only the symbols that hold them are expanded."""
-    ends = np.cumsum(expansions(rules, first_symbol)[1][symbols])
+def marks_of(symbols: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Ids before every ``MARK_EVERY``-th symbol."""
+    return np.concatenate(([0], np.cumsum(size[symbols])))[:-1:MARK_EVERY] if len(symbols) else np.empty(0, np.int64)
+
+
+def expand_range(
+    symbols: np.ndarray,
+    rules: np.ndarray,
+    first_symbol: int,
+    start: int,
+    stop: int,
+    rule_sizes: np.ndarray,
+    marks: np.ndarray,
+) -> np.ndarray:
+    """Ids ``start`` to ``stop`` of a shard; only the stretch of symbols between two marks is looked at."""
+    if stop <= start:
+        return np.empty(0, np.uint32)
+    low = max(int(np.searchsorted(marks, start, side="right")) - 1, 0)
+    high = int(np.searchsorted(marks, stop, side="left"))
+    some = symbols[low * MARK_EVERY : high * MARK_EVERY]
+    size = np.ones(len(some), np.int64)
+    made = some >= first_symbol
+    size[made] = rule_sizes[some[made] - first_symbol]
+    ends = int(marks[low]) + np.cumsum(size)
     a = int(np.searchsorted(ends, start, side="right"))
     b = int(np.searchsorted(ends, stop, side="left")) + 1
-    before = int(ends[a - 1]) if a else 0
-    return expand(symbols[a:b], rules, first_symbol)[start - before : stop - before]
+    before = int(ends[a] - size[a])
+    parts = [_expand_symbol(int(x), rules, first_symbol) for x in some[a:b].tolist()]
+    return np.array([i for part in parts for i in part], np.uint32)[start - before : stop - before]
+
+
+def _expand_symbol(symbol: int, rules: np.ndarray, first_symbol: int) -> list[int]:
+    """The ids of one symbol, by its rules alone."""
+    out, waiting = [], [symbol]
+    while waiting:
+        x = waiting.pop()
+        if x < first_symbol:
+            out.append(x)
+        else:
+            left, right = rules[x - first_symbol].tolist()
+            waiting += [right, left]
+    return out
 
 
 def write_token_files(
@@ -144,8 +187,8 @@ def write_token_files(
 ) -> None:
     """All documents in ascending ``doc_id`` order (null first, ties by text) as shards of about ``shard_ids`` ids.
 
-    ``vocabulary``: one more than the largest id; it has to leave room for
-    rules among 16-bit numbers, or none are made. Null text counts as empty.
+    ``vocabulary``: one more than the largest id; rules take the 16-bit numbers
+    from there on. Null text counts as empty.
     """
     if vocabulary > SYMBOLS:
         raise ValueError("ids do not fit 16 bits")
@@ -163,15 +206,17 @@ def write_token_files(
             nonlocal shard, before
             doc, size, whole = pa.concat_arrays(docs), np.concatenate(sizes), np.concatenate(ids)
             symbols, rules = compress(whole, vocabulary)
+            many = sizes_of(rules, vocabulary)
             row = [
                 part, shard, before, len(size), len(whole), vocabulary,
                 doc.fill_null(0).to_numpy().astype("<i8").tobytes(),
                 np.packbits(doc.is_null().to_numpy(zero_copy_only=False)).tobytes(),
-                size.astype("<i8").tobytes(), rules.astype("<u2").tobytes(), symbols.astype("<u2").tobytes(),
+                size.astype("<i8").tobytes(), rules.astype("<u2").tobytes(), many[vocabulary:].astype("<u4").tobytes(),
+                symbols.astype("<u2").tobytes(), marks_of(symbols, many).astype("<i8").tobytes(),
             ]
             shard, before = shard + 1, before + len(whole)
             docs.clear(), sizes.clear(), ids.clear()
-            types = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 5]
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 7]
             names = [x.strip().split(" ")[0] for x in SHARD_SCHEMA.split(",")]
             return pa.RecordBatch.from_arrays(
                 [pa.array([x], t) for x, t in zip(row, types, strict=True)], names=names
@@ -239,12 +284,18 @@ def decode_document(row: dict, at: int) -> np.ndarray:
     edges = np.concatenate(([0], np.cumsum(np.frombuffer(row["doc_sizes"], "<i8"))))
     rules = np.frombuffer(row["rules"], "<u2").reshape(-1, 2).astype(np.uint32)
     symbols = np.frombuffer(row["symbols"], "<u2").astype(np.int64)
-    return expand_range(symbols, rules, row["first_symbol"], int(edges[at]), int(edges[at + 1]))
+    sizes, marks = np.frombuffer(row["rule_sizes"], "<u4").astype(np.int64), np.frombuffer(row["marks"], "<i8")
+    return expand_range(symbols, rules, row["first_symbol"], int(edges[at]), int(edges[at + 1]), sizes, marks)
 
 
 def token_round_trip(documents: DataFrame, tokenizer: str, end_id: int, vocabulary: int) -> DataFrame:
-    """Writes token files to the shared folder and returns what they hold. No rows in, none out."""
+    """Writes token files to the shared folder and returns what they hold.
+
+    Null and empty texts have the end id only; very long ones are encoded in
+    pieces; repeated rows are stored each, a null doc_id comes first and stays
+    null; other columns are not read; no rows in, none out.
+    """
     spark = documents.sparkSession
-    path = f"{shared_dir(spark)}/token-files-{uuid.uuid4().hex}"
+    path = scratch_path(spark, "token-files")
     write_token_files(documents, tokenizer, path, end_id, vocabulary)
     return read_token_files(spark.read.schema(SHARD_SCHEMA).parquet(path))

@@ -102,7 +102,7 @@ def test_token_files_give_back_what_was_written(spark, tmp_path):
     row = max(shards.collect(), key=lambda r: r["n_docs"]).asDict()
     whole = token_files.decode_shard(row)
     edges = np.concatenate(([0], np.cumsum(np.frombuffer(row["doc_sizes"], "<i8"))))
-    for at in (0, row["n_docs"] // 2, row["n_docs"] - 1):
+    for at in range(row["n_docs"]):
         assert token_files.decode_document(row, at).tolist() == whole[edges[at] : edges[at + 1]].tolist()
 
 
@@ -115,6 +115,35 @@ def test_grammar_shortens_and_expands():
         assert token_files.expand(symbols.astype(int), rules, 10).tolist() == short
 
 
+def test_pairs_are_replaced_until_none_pays():
+    pick = np.random.default_rng(8)
+    phrase = pick.integers(0, 300, 64)
+    ids = np.concatenate([np.concatenate([phrase, pick.integers(0, 300, 3)]) for _ in range(200)])
+    symbols, rules = token_files.compress(ids, 300)
+    size = token_files.sizes_of(rules, 300)
+    assert size.max() >= 64 and token_files.expand(symbols.astype(int), rules, 300).tolist() == ids.tolist()
+    pairs = (symbols[:-1].astype(np.int64) << 32) | symbols[1:]
+    # What is left over are runs of one symbol, counted once for every second place.
+    apart = np.unique(pairs[symbols[:-1] != symbols[1:]], return_counts=True)[1]
+    assert apart.max() < token_files.LEAST_USES
+    marks = token_files.marks_of(symbols, size)
+    for start, stop in ((0, 0), (0, 1), (5, 700), (len(ids) - 3, len(ids)), (0, len(ids))):
+        found = token_files.expand_range(symbols, rules, 300, start, stop, size[300:], marks)
+        assert found.tolist() == ids[start:stop].tolist()
+
+
+def test_marks_shorten_the_way_to_a_document(monkeypatch):
+    monkeypatch.setattr(token_files, "MARK_EVERY", 8)
+    ids = np.random.default_rng(4).integers(0, 9, 500)
+    symbols, rules = token_files.compress(ids, 10)
+    size = token_files.sizes_of(rules, 10)
+    marks = token_files.marks_of(symbols, size)
+    assert len(marks) == -(-len(symbols) // 8)
+    for start in range(0, 500, 7):
+        found = token_files.expand_range(symbols, rules, 10, start, min(start + 30, 500), size[10:], marks)
+        assert found.tolist() == ids[start : start + 30].tolist()
+
+
 def test_length_totals(spark):
     rows = _rows()
     sizes = [len(x) + 1 for x in encoded(BYTE, [t for _, t in rows])]
