@@ -3,9 +3,11 @@
 Equal windows have to meet in one shard. Each window is keyed by the smallest
 hash of its 24-byte grams, so neighbouring windows share a key and form one
 segment, and equal windows share it wherever they are. Keys that turn up once
-are done. Equal segments of a key are counted together; those that differ go
-to shards by key, whose suffix arrays are built by induced sorting and whose
-permuted common prefixes tell which windows repeat.
+are done: a first pass counts keys alone, and a second one cuts out the segments
+of keys that turn up again, with their bytes, so the texts are not shuffled.
+Equal segments of a key are counted together; those that differ go to shards by
+key, whose suffix arrays are built by induced sorting and whose permuted common
+prefixes tell which windows repeat.
 
 A key with very many different segments (a passage that everybody quotes, cut
 by other words around it) is split by content before that: into runs of 32
@@ -23,14 +25,15 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleswh.llm.common import kept, per_batch
+from saleswh.llm.common import in_table, kept, key_table, per_batch, record_batch, rows_by_table
 from saleswh.llm.suffix_arrays import repeated_windows
+from saleswh.operators.files import write_once
 
 LENGTH, GRAM = 200, 24
 RUN = 32
 #: A key with more different segments is split.
 MOST_CONTENTS = 256
-SHARD_BYTES = 1_500_000
+SHARD_BYTES = 500_000
 
 _SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -71,70 +74,100 @@ def runs_of(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return start, np.diff(np.append(start, len(values)))
 
 
-SEGMENTS = "key long, content long, text_id binary, at int, n int, again boolean"
+def _cuts(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Gram hashes, and per segment its key, first window and number of windows."""
+    hashes = gram_hashes(np.frombuffer(data, np.uint8))
+    keys = window_keys(hashes)
+    start, n = runs_of(keys)
+    return hashes, keys[start], start, n
 
 
-def _segments(texts: DataFrame) -> DataFrame:
-    """A row per segment: key, hash of its bytes, text, first window, windows, and whether it holds its key twice."""
+def _holds_twice(hashes: np.ndarray, keys: np.ndarray, start: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Whether a segment holds the gram of its key more than once, so that its own windows may be equal."""
+    stop = start + n + LENGTH - GRAM
+    bounds = zip(keys, start.tolist(), stop.tolist(), strict=True)
+    return np.fromiter((np.count_nonzero(hashes[a:b] == key) > 1 for key, a, b in bounds), bool, len(start))
+
+
+def _repeated_keys(texts: DataFrame) -> DataFrame:
+    """``key`` of segments that turns up twice or more; counted per batch before the shuffle, stored."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, times = [], []
+            for data in batch.column(0).to_pylist():
+                hashes, key, start, n = _cuts(data)
+                keys.append(key)
+                times.append(1 + _holds_twice(hashes, key, start, n))
+            if keys:
+                found, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+                total = np.bincount(inverse, weights=np.concatenate(times)).astype(np.int64)
+                yield record_batch(["key", "n"], [found.view(np.int64), total])
+
+    counted = per_batch(texts.filter(F.octet_length("data") >= LENGTH).select("data"), count, "key long, n long")
+    return kept(counted.groupBy("key").agg(F.sum("n").alias("n")).filter("n > 1").select("key"))
+
+
+SEGMENTS = "key long, content long, text_id binary, at int, n int, again boolean, data binary"
+
+
+def _segments(texts: DataFrame, repeated: DataFrame) -> DataFrame:
+    """A row per segment whose key may turn up again: key, hash of its bytes, text, first window, windows, ``again``.
+
+    ``again``: it holds its key twice. ``data`` are its bytes, with the first of
+    equal segments in a task only. The table of bits lets some keys through that
+    do not turn up again; the more keys there are, the more.
+    """
+    sent = texts.sparkSession.sparkContext.broadcast(key_table(repeated))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = sent.value
+        names = [x.strip().split(" ")[0] for x in SEGMENTS.split(",")]
         for batch in batches:
-            columns: list[list] = [[], [], [], [], [], []]
+            # Equal segments in a batch: one carries the bytes.
+            seen: set[tuple[int, int]] = set()
+            columns: list[list] = [[] for _ in names]
             for text_id, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                values = np.frombuffer(data, np.uint8)
-                hashes = gram_hashes(values)
-                keys = window_keys(hashes)
-                start, n = runs_of(keys)
-                ends = start + n + LENGTH - 1
-                bounds = list(zip(start.tolist(), ends.tolist(), strict=True))
-                columns[0].append(keys[start].view(np.int64))
-                columns[1].append(
-                    np.fromiter((xxhash.xxh3_64_intdigest(data[a:b]) for a, b in bounds), np.uint64, len(bounds)).view(
-                        np.int64
-                    )
-                )
-                columns[2].extend([text_id] * len(start))
-                columns[3].append(start.astype(np.int32))
-                columns[4].append(n.astype(np.int32))
-                columns[5].append(
-                    np.fromiter(
-                        (
-                            np.count_nonzero(hashes[a : b - GRAM + 1] == key) > 1
-                            for (a, b), key in zip(bounds, keys[start], strict=True)
-                        ),
-                        bool,
-                        len(bounds),
-                    )
-                )
+                hashes, key, start, n = _cuts(data)
+                some = np.flatnonzero(in_table(table, key))
+                if not len(some):
+                    continue
+                key, start, n = key[some], start[some], n[some]
+                again = _holds_twice(hashes, key, start, n)
+                key, first = key.view(np.int64).tolist(), start.tolist()
+                for k, a, b in zip(key, first, (start + n + LENGTH - 1).tolist(), strict=True):
+                    whole = data[a:b]
+                    content = _signed(whole)
+                    columns[1].append(content)
+                    columns[6].append(None if (k, content) in seen else whole)
+                    seen.add((k, content))
+                columns[0] += key
+                columns[2] += [text_id] * len(key)
+                columns[3] += first
+                columns[4] += n.tolist()
+                columns[5] += again.tolist()
             if columns[0]:
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate(columns[0])), pa.array(np.concatenate(columns[1])),
-                        pa.array(columns[2], pa.binary()), pa.array(np.concatenate(columns[3])),
-                        pa.array(np.concatenate(columns[4])), pa.array(np.concatenate(columns[5])),
-                    ],
-                    names=["key", "content", "text_id", "at", "n", "again"],
-                )
+                kinds = [pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.int32(), pa.bool_(), pa.binary()]
+                yield record_batch(names, [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)])
 
-    return per_batch(texts.filter(F.octet_length("data") >= LENGTH), cut, SEGMENTS)
+    return per_batch(texts.filter(F.octet_length("data") >= LENGTH).select("text_id", "data"), cut, SEGMENTS)
 
 
 PARTS = (
     "key long, content long, part_key long, part_content long, off int, n int, copies long, "
-    "again boolean, data binary"
+    "again boolean, split boolean, data binary"
 )
 
 
-def _parts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """The bytes of wanted segments; those of split keys in runs of windows keyed by what the run's windows share.
+def _parts(wanted: DataFrame) -> DataFrame:
+    """Wanted segments with their bytes; those of split keys in runs of windows keyed by what the run's windows share.
 
-    ``wanted``: text_id and ``segments``, an array of key, content, at, n, copies, again and split.
+    ``wanted``: key, content, n, copies, again, split and data.
     """
-    joined = texts.join(wanted, "text_id").select("data", "segments")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [x.strip().split(" ")[0] for x in PARTS.split(",")]
-        kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64(), pa.bool_(), pa.binary()]
+        kinds = [pa.int64()] * 4 + [pa.int32()] * 2 + [pa.int64(), pa.bool_(), pa.bool_(), pa.binary()]
 
         def batch_of(rows: list[tuple]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
@@ -143,26 +176,20 @@ def _parts(texts: DataFrame, wanted: DataFrame) -> DataFrame:
 
         rows: list[tuple] = []
         for batch in batches:
-            for data, segments in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                for s in segments:
-                    at, n = s["at"], s["n"]
-                    whole = data[at : at + n + LENGTH - 1]
-                    if not s["split"]:
-                        rows.append(
-                            (s["key"], s["content"], s["key"], s["content"], 0, n, s["copies"], s["again"], whole)
-                        )
-                        continue
-                    for off, size, shared in _split(whole, n, s["key"]):
+            for key, content, n, copies, again, split, whole in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if not split:
+                    rows.append((key, content, key, content, 0, n, copies, again, False, whole))
+                else:
+                    for off, size, shared in _split(whole, n, key):
                         part = whole[off : off + size + LENGTH - 1]
-                        own = (_signed(shared), _signed(part), off, size, s["copies"], False, part)
-                        rows.append((s["key"], s["content"], *own))
+                        rows.append((key, content, _signed(shared), _signed(part), off, size, copies, False, True, part))
                 if len(rows) >= 20_000:
                     yield batch_of(rows)
                     rows = []
         if rows:
             yield batch_of(rows)
 
-    return per_batch(joined, cut, PARTS)
+    return per_batch(wanted.select("key", "content", "n", "copies", "again", "split", "data"), cut, PARTS)
 
 
 def _signed(data: bytes) -> int:
@@ -290,62 +317,45 @@ def repeated_spans(texts: DataFrame) -> DataFrame:
 
     ``texts``: text_id (equal for equal texts) and data; a row per document.
     """
-    segments = _segments(texts)
-    # One row per key and task reaches the shuffle.
-    keys = segments.groupBy("key").agg(
-        F.count("*").alias("n_rows"),
-        F.min("content").alias("low"),
-        F.max("content").alias("high"),
-        F.max("again").alias("any_again"),
-    )
-    repeated_keys = keys.filter("n_rows > 1 OR any_again").select(
-        "key", ((F.col("low") == F.col("high")) & ~F.col("any_again")).alias("alike")
-    )
+    repeated = _repeated_keys(texts)
+    cut, _ = write_once(_segments(texts, repeated), "segments")
     members = kept(
-        segments.join(repeated_keys, "key")
-        .groupBy("key", "content", "text_id", "at", "n", "again", "alike")
+        cut.drop("data")
+        .join(repeated, "key")
+        .groupBy("key", "content", "text_id", "at", "n", "again")
         .agg(F.count("*").alias("copies"))
     )
-    whole = members.filter("alike").select("text_id", F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("stop"))
-    contents = (
-        members.filter("NOT alike")
-        .groupBy("key", "content")
-        .agg(
-            F.sum("copies").alias("copies"),
-            F.max("again").alias("again"),
-            F.min(F.struct("text_id", "at", "n")).alias("place"),
-        )
+    contents = members.groupBy("key", "content").agg(
+        F.sum("copies").alias("copies"), F.max("again").alias("again"), F.max("n").alias("n")
     )
-    per_key = contents.groupBy("key").agg(F.count("*").alias("n_contents"))
-    wanted = (
-        contents.join(per_key, "key")
-        .select(
-            "place.text_id",
-            F.struct(
-                "key", "content", "place.at", "place.n", "copies", "again", (F.col("n_contents") > MOST_CONTENTS).alias("split")
-            ).alias("s"),
-        )
-        .groupBy("text_id")
-        .agg(F.collect_list("s").alias("segments"))  # of one text: no more than it is long
+    contents = kept(contents)
+    per_key = contents.groupBy("key").agg(F.count("*").alias("n_contents"), F.max("again").alias("any_again"))
+    # All segments of such a key are equal: every window of them repeats.
+    alike = (F.col("n_contents") == 1) & ~F.col("any_again")
+    judged = kept(contents.join(per_key, "key").withColumn("alike", alike))
+    whole = members.join(judged.filter("alike").select("key"), "key").select(
+        "text_id", F.col("at").alias("start"), (F.col("at") + F.col("n")).alias("stop")
     )
-    parts = kept(_parts(texts, wanted).dropDuplicates(["key", "content", "off"]))
-    distinct = parts.groupBy("part_key", "part_content").agg(
+    wanted = judged.filter("NOT alike").withColumn("split", F.col("n_contents") > MOST_CONTENTS)
+    data = cut.filter("data IS NOT NULL").groupBy("key", "content").agg(F.min("data").alias("data"))
+    parts, _ = write_once(_parts(wanted.join(data, ["key", "content"])), "parts")
+    split = parts.filter("split").groupBy("part_key", "part_content").agg(
         F.sum("copies").alias("copies"),
         F.max("again").alias("again"),
         F.min("n").alias("n"),
         F.min("data").alias("data"),
     )
-    full = distinct.groupBy("part_key").agg(F.count("*").alias("n_contents"), F.sum("copies").alias("n_copies"))
-    sized = kept(
-        distinct.join(full, "part_key").filter("n_copies > 1 OR again")
-    )
-    found = _repeats_in_shards(sized.filter(F.col("n_contents") <= MOST_CONTENTS)).unionByName(
-        _repeats_of_windows(sized.filter(F.col("n_contents") > MOST_CONTENTS))
-    )
+    full = split.groupBy("part_key").agg(F.count("*").alias("n_contents"), F.sum("copies").alias("n_copies"))
+    sized = kept(split.join(full, "part_key").filter("n_copies > 1 OR again"))
+    columns = ["part_key", "part_content", "n", "copies", "data"]
+    plain = parts.filter("NOT split").select(*columns)
+    found = _repeats_in_shards(
+        plain.unionByName(sized.filter(F.col("n_contents") <= MOST_CONTENTS).select(*columns))
+    ).unionByName(_repeats_of_windows(sized.filter(F.col("n_contents") > MOST_CONTENTS)))
     in_segments = parts.select("key", "content", "part_key", "part_content", "off").join(
         found, ["part_key", "part_content"]
     ).select("key", "content", (F.col("off") + F.col("start")).alias("start"), (F.col("off") + F.col("stop")).alias("stop"))
-    in_texts = members.filter("NOT alike").join(in_segments, ["key", "content"]).select(
+    in_texts = members.join(in_segments, ["key", "content"]).select(
         "text_id", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("stop")).alias("stop")
     )
     return whole.unionByName(in_texts)
@@ -356,6 +366,11 @@ def _documents(documents: DataFrame) -> DataFrame:
     return documents.select(F.col("doc_id").cast("long"), F.unhex(F.md5(data)).alias("text_id"), data.alias("data"))
 
 
+CUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_data binary"
+#: Texts that a task holds as Python objects at a time.
+ROWS_AT_ONCE = 1000
+
+
 def removed_spans(documents: DataFrame) -> DataFrame:
     """Per text with something to remove: ``text_id`` and ``spans``, its windows that repeat, in order."""
     texts = _documents(documents).select("text_id", "data")
@@ -379,35 +394,50 @@ def without_repeats(documents: DataFrame) -> DataFrame:
     all their windows repeat, also if they share a doc_id. A text shorter than
     200 bytes keeps all. No rows in, none out.
     """
-    own = _documents(documents)
-    joined = own.join(removed_spans(documents), "text_id", "left").select("doc_id", "data", "spans")
+    spans, _ = write_once(removed_spans(documents), "spans")
+    # Texts that cannot have any stay where they are.
+    key = F.xxhash64("text_id").alias("key")
+    table = documents.sparkSession.sparkContext.broadcast(key_table(spans.select(key)))
+    own = _documents(documents).select("doc_id", "data", "text_id", key)
+    met = rows_by_table(own, "key", table, present=True).join(spans.hint("merge"), "text_id", "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            size, removed, count, digest, left = [], [], [], [], []
-            for data, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-                pairs = np.array([(s["start"], s["stop"]) for s in spans or []], np.int64).reshape(-1, 2)
-                gone = byte_spans(pairs[:, 0], pairs[:, 1])
-                stay, at = [], 0
-                for a, b in gone:
-                    stay.append(data[at:a])
-                    at = b
-                rest = b"".join([*stay, data[at:]])
-                size.append(len(data))
-                removed.append(len(data) - len(rest))
-                count.append(len(gone))
-                digest.append(hashlib.sha256(rest).hexdigest())
-                left.append(rest)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), pa.array(size, pa.int64()), pa.array(removed, pa.int64()),
-                    pa.array(count, pa.int64()), pa.array(digest, pa.string()), pa.array(left, pa.binary()),
-                ],
-                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_data"],
-            )
-
-    return per_batch(
-        joined,
-        cut,
-        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept_data binary",
-    )
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                some = batch.slice(at, ROWS_AT_ONCE)
+                yield _cut_batch(some.column(0), some.column(1), some.column(2).to_pylist())
+
+    # One worker both chooses and cuts: two would hold the texts twice.
+    def leave(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+                some = batch.slice(at, ROWS_AT_ONCE)
+                some = some.filter(pa.array(~in_table(table.value, some.column(2).to_numpy())))
+                yield _cut_batch(some.column(0), some.column(1), [None] * some.num_rows)
+
+    left = per_batch(own.select("doc_id", "data", "key"), leave, CUT)
+    return per_batch(met.select("doc_id", "data", "spans"), cut, CUT).unionByName(left)
+
+
+def _cut_batch(doc_id: pa.Array, texts: pa.Array, spans: list) -> pa.RecordBatch:
+    size, removed, count, digest, left = [], [], [], [], []
+    for data, own in zip(texts.to_pylist(), spans, strict=True):
+        pairs = np.array([(s["start"], s["stop"]) for s in own or []], np.int64).reshape(-1, 2)
+        gone = byte_spans(pairs[:, 0], pairs[:, 1])
+        stay, at = [], 0
+        for a, b in gone:
+            stay.append(data[at:a])
+            at = b
+        rest = b"".join([*stay, data[at:]]) if gone else data
+        size.append(len(data))
+        removed.append(len(data) - len(rest))
+        count.append(len(gone))
+        digest.append(hashlib.sha256(rest).hexdigest())
+        left.append(rest)
+    return record_batch(
+        ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_data"],
+        [
+            doc_id, pa.array(size, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()),
+            pa.array(digest, pa.string()), pa.array(left, pa.binary()),
+        ],
+    )
