@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +39,44 @@ def per_batch(
     return df.mapInArrow(work, schema)
 
 
+#: Bits of a key table: 8 MB, whatever the corpus.
+TABLE_BITS = 26
+
+
+def key_table(keys: DataFrame) -> np.ndarray:
+    """A table of fixed size with a bit set for each 64-bit ``key``: at most 2^20 numbers come to the driver.
+
+    It tells rows that cannot meet any of the keys, before they are shuffled. The
+    more keys there are, the more others it lets through; a join decides.
+    """
+    bit = F.col("key").bitwiseAND(F.lit((1 << TABLE_BITS) - 1))
+    words = keys.groupBy(F.shiftright(bit, 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(key & 63 AS INT))")).alias("bits")
+    )
+    found = words.toArrow()
+    table = np.zeros(1 << (TABLE_BITS - 6), np.int64)
+    table[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    return table.view(np.uint64)
+
+
+def in_table(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    bit = keys.astype(np.uint64) & np.uint64((1 << TABLE_BITS) - 1)
+    return (table[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
+
+
+def rows_by_table(df: DataFrame, key: str, sent: Broadcast[np.ndarray], present: bool) -> DataFrame:
+    """The rows of ``df`` whose ``key`` (a long, never null) has its bit set, or those whose has not."""
+    at = df.columns.index(key)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            chosen = in_table(sent.value, batch.column(at).to_numpy()) == present
+            if chosen.any():
+                yield batch if chosen.all() else batch.filter(pa.array(chosen))
+
+    return df.mapInArrow(choose, df.schema)
+
+
 def read_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

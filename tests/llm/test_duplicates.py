@@ -61,8 +61,30 @@ def test_groups_equal_brute_force(spark, monkeypatch, crowded):
     assert sorted(found, key=repr) == sorted(want, key=repr)
     left = near.one_of_each_group(docs)
     assert left.schema == docs.schema
-    keep = {d for d, _, _, k in want if d is not None and k is not False} | {None}
-    assert sorted(r.doc_id or -1 for r in left.collect()) == sorted(d or -1 for d, _ in rows if d in keep)
+    groups = {find(i): [] for i in range(len(rows)) if sets[i]}
+    for i, (doc, _) in enumerate(rows):
+        if sets[i]:
+            groups[find(i)].append(doc)
+    stay = [d for i, (d, _) in enumerate(rows) if not sets[i]]
+    stay += [min(ids, key=lambda d: (d is None, d or 0)) for ids in groups.values()]
+    assert sorted(r.doc_id or -1 for r in left.collect()) == sorted(d or -1 for d in stay)
+
+
+def test_rows_without_id_and_repeated_rows_leave_one(spark):
+    """Each group leaves one row, whatever its ids; a column may have any name."""
+    text = " ".join(words(1, 40, 10**6))
+    other = [" ".join(words(10 + i, 40, 10**6)) for i in range(300)]
+    rows = [(None, t) for t in other for _ in range(2)] + [(None, text)] * 400
+    rows += [(1, text + " more"), (1, text + " more"), (2, text), (3, "few words"), (3, "few words"), (None, ""), (None, "")]
+    full = [(i, t, 7, "x") for i, t in rows]
+    docs = spark.createDataFrame(full, "doc_id long, text string, _id int, fate string").repartition(5)
+    left = near.one_of_each_group(docs)
+    assert left.columns == docs.columns
+    found = left.collect()
+    assert sorted((r.doc_id or 0, r.text) for r in found) == sorted(
+        [(0, t) for t in other] + [(1, text + " more"), (3, "few words"), (0, ""), (0, "")]
+    )
+    assert {(r["_id"], r["fate"]) for r in found} == {(7, "x")}
 
 
 def test_no_documents_no_groups(spark):
