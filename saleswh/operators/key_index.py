@@ -64,17 +64,18 @@ class KeyIndex:
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")
 
-    def write(self, entries: DataFrame, state: dict | None) -> dict:
+    def write(self, entries: DataFrame, state: dict | None, placed: bool = False) -> dict:
         """Writes entries (key, ``stored_day``, ``stored_print``) as the whole content of their slabs.
 
-        Returns the new state; the old one stays valid, since no file is changed.
+        ``placed`` entries lie in their buckets' tasks already and are not shuffled. Returns the new state; the old one stays valid, since no file is changed.
         """
         now = state or {"slabs": self.slabs, "buckets": self.buckets, "folders": {}}
         numbers = [int(n.split("=")[1]) for n in files.children(self.spark, self.path) if n.startswith("version=")]
         version = f"version={max(numbers, default=0) + 1}"
         rows = entries.select(self.key, "stored_day", "stored_print", self.slab(now).alias("slab"))
         name = f"key_index_{uuid.uuid4().hex}"
-        writer = rows.repartition(now["buckets"], self.key).write.mode("errorifexists").partitionBy("slab")
+        dealt = rows if placed else rows.repartition(now["buckets"], self.key)
+        writer = dealt.write.mode("errorifexists").partitionBy("slab").option("compression", "zstd")
         writer = writer.bucketBy(now["buckets"], self.key).sortBy(self.key)
         writer.option("path", f"{self.path}/{version}").saveAsTable(name)
         self.spark.sql(f"DROP TABLE {name}")

@@ -33,6 +33,7 @@ def dense_numbers(keys: DataFrame, key: str, surrogate: str, highest: int) -> tu
         first += count
     if not begins:
         return keys.select(key, F.lit(None).cast("bigint").alias(surrogate)), highest
-    starts = keys.sparkSession.createDataFrame(begins, "_task int, _first long")
-    numbered = placed.join(starts, "_task").select(key, (F.col("_first") + F.col("_place")).alias(surrogate))
-    return numbered, first - 1
+    # Looked up in the projection: a join by task would deal the keys to one task per number.
+    starts = F.create_map(*(F.lit(value) for task, start in begins for value in (task, start)))
+    number = F.element_at(starts, F.col("_task")) + F.col("_place")
+    return placed.select(key, number.cast("bigint").alias(surrogate)), first - 1

@@ -9,17 +9,18 @@ the old one untouched. One writer at a time.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from saleswh.operators import files
+from saleswh.operators import buckets, files
 
 
 class VersionedTable:
-    """``partition`` names the storage partition, ``surrogate`` a running number.
+    """``partition`` names the storage partition, ``surrogate`` a running number, ``key`` what buckets go by.
 
     A partition column that ``schema`` does not list is storage only: readers see
     it on request. The pointer file also holds the highest running number handed
@@ -34,8 +35,10 @@ class VersionedTable:
         schema: T.StructType,
         partition: str | None = None,
         surrogate: str | None = None,
+        key: str | None = None,
     ) -> None:
         self.spark = spark
+        self.key = key
         self.path = path.rstrip("/")
         self.schema = schema
         self.partition = partition
@@ -70,22 +73,41 @@ class VersionedTable:
         reader = self.spark.read.schema(self.stored).option("basePath", self.path)
         return reader.parquet(*(f"{self.path}/{folder}" for folder in folders)).select(*shown.fieldNames())
 
+    def buckets(self) -> int | None:
+        """How many buckets a partition is stored in; None for a table without rows, 1 for one without buckets."""
+        return self.notes().get("buckets", 1) if self.folders() else None
+
+    @contextmanager
+    def opened(self, partition_values: Iterable[int]) -> Iterator[DataFrame]:
+        """Rows of some partitions, read bucket by bucket where there are buckets; to be used within the block only."""
+        wanted, number = set(partition_values), self.buckets() or 1
+        if number == 1:
+            yield self.read(stored=True).filter(F.col(self.partition).isin(sorted(wanted)))
+            return
+        held = {int(folder.split("=")[-1]): f"{self.path}/{folder}" for folder in self.folders()}
+        found = {value: held[value] for value in sorted(wanted & held.keys())}
+        with buckets.opened(self.spark, self.stored, self.path, self.partition, self.key, number, found) as rows:
+            yield rows
+
     def replace(
         self,
         df: DataFrame,
         partition_values: Iterable[int] | None = None,
         highest: int | None = None,
         notes: dict | None = None,
+        sort: str | None = None,
     ) -> None:
         """Makes ``df`` the content of the table, or of the partitions named.
 
-        ``highest`` and ``notes`` replace those of the table, where given.
+        ``highest`` and ``notes`` replace those of the table, where given. With
+        ``buckets`` in the notes the rows of a task go to files of their bucket,
+        sorted by ``sort``; the caller has one task hold a bucket.
         """
         kept: list[str] = []
         if partition_values is not None:
             gone = {f"{self.partition}={value}" for value in partition_values}
             kept = [folder for folder in self.folders() if folder.split("/")[-1] not in gone]
-        self._write(df, kept, highest, notes)
+        self._write(df, kept, highest, notes, sort)
 
     def append(self, df: DataFrame) -> None:
         self._write(df, self.folders(), None, None)
@@ -99,13 +121,20 @@ class VersionedTable:
             return {"folders": [], "highest": 0}
         return json.loads(files.read_text(self.spark, self._pointer))
 
-    def _write(self, df: DataFrame, kept: list[str], highest: int | None, notes: dict | None) -> None:
+    def _write(
+        self, df: DataFrame, kept: list[str], highest: int | None, notes: dict | None, sort: str | None = None
+    ) -> None:
         before = self._state()
         version = f"version={self._next_version()}"
-        writer = df.select(*self.stored.fieldNames()).write.mode("errorifexists")
-        if self.partition:
-            writer = writer.partitionBy(self.partition)
-        writer.parquet(f"{self.path}/{version}")
+        rows = df.select(*self.stored.fieldNames())
+        number = (notes or {}).get("buckets", 1) if self.key else 1
+        if number > 1:
+            buckets.write(rows, f"{self.path}/{version}", self.partition, self.key, number, sort)
+        else:
+            writer = rows.write.mode("errorifexists").option("compression", "zstd")
+            if self.partition:
+                writer = writer.partitionBy(self.partition)
+            writer.parquet(f"{self.path}/{version}")
         written = [version]
         if self.partition:
             names = files.children(self.spark, f"{self.path}/{version}")

@@ -18,6 +18,10 @@ from saleswh.schema import FACT_PARTITION, FACT_SALES_ITEM
 from saleswh.sources.conform import fact_fx_rates
 
 KEY = "order_item_id"
+#: Items for each bucket of a fact that is still to be written; a task joins and sorts one bucket at a time.
+BUCKET_ROWS = 1_500_000
+#: With fewer buckets than this, tasks would be too few: such a fact is stored by month alone.
+LEAST_BUCKETS = 4
 
 
 def order_item_sales(items: DataFrame, orders: DataFrame) -> DataFrame:
@@ -73,7 +77,19 @@ def orphan_items(items: DataFrame, product_keys: DataFrame) -> DataFrame:
     return items.join(product_keys, "product_id", "left_anti")
 
 
-def upsert_fact(table: VersionedTable, rows: DataFrame, loaded_at: datetime) -> list[int]:
+def buckets_for(table: VersionedTable, items: DataFrame) -> int:
+    """Buckets by order item that a load works in: those of the stored facts, else as many as the items fill.
+
+    Only a first load counts its items, since Spark's estimate is no use for sources that are no files.
+    """
+    stored_in = table.buckets()
+    if stored_in:
+        return stored_in
+    filled = items.count() // BUCKET_ROWS
+    return filled if filled >= LEAST_BUCKETS else 1
+
+
+def upsert_fact(table: VersionedTable, rows: DataFrame, loaded_at: datetime, buckets: int = 1) -> list[int]:
     """Overwrites facts by order item, and returns the days in which something changed.
 
     ``rows`` is read several times, so pass a written table. It is compared with
@@ -81,8 +97,13 @@ def upsert_fact(table: VersionedTable, rows: DataFrame, loaded_at: datetime) ->
     they are drop out there. Months that gain, change or lose a row are merged
     and rewritten. The new facts and the new index become valid together. A load
     that changes nothing writes nothing.
+
+    With more than one of ``buckets``, ``rows`` is read bucket by bucket, as are the
+    index and the stored facts, so that the facts are joined and rewritten without
+    a shuffle; only changed keys and new numbers are shuffled.
     """
-    index = KeyIndex(table.spark, f"{table.path}/key_index", KEY)
+    apart = buckets > 1
+    index = KeyIndex(table.spark, f"{table.path}/key_index", KEY, **({"buckets": buckets} if apart else {}))
     state = table.notes().get("index")
     if state is None and table.folders():
         state = index.write(_entries(table.read()), None)
@@ -99,12 +120,14 @@ def upsert_fact(table: VersionedTable, rows: DataFrame, loaded_at: datetime) ->
     # A first load changes everything it brings.
     changed = updates if state is None else updates.join(changes.select(KEY), KEY, "left_semi")
     numbered = changed.join(numbers, KEY, "left")
-    merged = merge_rows(
-        table.read().filter(F.col(FACT_PARTITION).isin(months)), numbered, [KEY], kept=["sales_item_sk", "created_at"]
-    )
     # Sorted files let date filters skip row groups.
-    spread = _by_month(merged).sortWithinPartitions(FACT_PARTITION, "date_key")
-    table.replace(spread, months, highest, {**table.notes(), "index": _next_index(index, state, changes)})
+    with table.opened(months) as current:
+        merged = merge_rows(current, numbered, [KEY], kept=["sales_item_sk", "created_at"])
+        spread = merged if apart else _by_month(merged).sortWithinPartitions(FACT_PARTITION, "date_key")
+        notes = {**table.notes(), "index": _next_index(index, state, changes, apart)}
+        if apart:
+            notes["buckets"] = buckets
+        table.replace(spread, months, highest, notes, sort="date_key")
     return days
 
 
@@ -137,12 +160,14 @@ def _changed_days(changes: DataFrame) -> list[int]:
     return sorted(row["day"] for row in days.filter("day IS NOT NULL").distinct().collect())
 
 
-def _next_index(index: KeyIndex, state: dict | None, changes: DataFrame) -> dict:
+def _next_index(index: KeyIndex, state: dict | None, changes: DataFrame, apart: bool) -> dict:
+    """``apart``: a first load's changes lie in their buckets."""
     if state is None:
-        return index.write(changes, None)
+        return index.write(changes, None, placed=apart)
     with index.opened(state, index.slabs_of(changes, state)) as known:
+        # The join leaves every entry in the task of its bucket.
         merged = merge_rows(known, changes.drop("before_day"), [KEY])
-        return index.write(merged, state)
+        return index.write(merged, state, placed=apart)
 
 
 def hourly_sales(fact: DataFrame, dim_date: DataFrame, dim_time: DataFrame) -> DataFrame:

@@ -2,26 +2,30 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 from datetime import date, datetime, timezone
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from saleswh import schema
-from saleswh.operators import files
+from saleswh.operators import buckets, files
 from saleswh.operators.key_index import KeyIndex
 from saleswh.operators.steps import run_steps
 from saleswh.operators.tables import VersionedTable
 from saleswh.plans import dims, fact, fx, quality, views
 from saleswh.plans.star import Star
-from saleswh.session import use_exact_decimals
+from saleswh.session import finer_shuffles, use_buckets, use_exact_decimals
 from saleswh.sources import conform, generators
 from saleswh.sources.bundle import Sources
 
+#: Shuffle partitions a load begins with, for each bucket of the fact.
+SHUFFLES_PER_BUCKET = 4
+
 REFUSED = T.StructField("refused", T.BooleanType())
 
 
@@ -31,6 +35,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         use_exact_decimals(spark)
+        use_buckets(spark)
         self.root = root.rstrip("/")
 
         def table(name: str, columns: T.StructType, **options: str) -> VersionedTable:
@@ -46,6 +51,7 @@ class Warehouse:
             schema.FACT_STORED,
             partition=schema.FACT_PARTITION,
             surrogate="sales_item_sk",
+            key=fact.KEY,
         )
         self.refused = table("fact_refused", schema.FACT_REFUSED)
         self.hourly_sales = table("hourly_sales", schema.HOURLY_SALES, partition=schema.FACT_PARTITION)
@@ -107,6 +113,11 @@ class Warehouse:
         broken rows go to the table of refused ones and the load is refused.
         Returns the change number of the fact before, and the days touched.
         """
+        number = fact.buckets_for(self.fact, conform.order_items(sources.order_items))
+        with finer_shuffles(self.spark, SHUFFLES_PER_BUCKET * number):
+            return self._load_fact(sources, loaded_at, number)
+
+    def _load_fact(self, sources: Sources, loaded_at: datetime, number: int) -> tuple[int, list[int]]:
         rows = fact.fact_rows(
             conform.order_items(sources.order_items),
             conform.orders(sources.orders),
@@ -118,17 +129,32 @@ class Warehouse:
         observed = checked.observe(counts, *quality.broken_counts())
         refused = F.size("broken") > 0
         try:
-            observed.withColumn("refused", refused).write.partitionBy("refused").parquet(path)
-            staged = self.spark.read.schema(T.StructType([*checked.schema, REFUSED])).parquet(path)
+            marked = observed.withColumn("refused", refused)
+            if number > 1:
+                buckets.write(marked, path, "refused", fact.KEY, number)
+            else:
+                marked.write.partitionBy("refused").option("compression", "zstd").parquet(path)
             if any(counts.get.values()):
+                staged = self.spark.read.schema(T.StructType([*checked.schema, REFUSED])).parquet(path)
                 moment = F.lit(loaded_at).cast("timestamp").alias("refused_at")
                 self.refused.append(staged.filter("refused").select("*", moment))
             quality.refuse(counts.get)
             before = self.fact.change()
-            return before, fact.upsert_fact(self.fact, staged.filter("NOT refused").select(*rows.columns), loaded_at)
+            with self._staged(path, T.StructType([*checked.schema, REFUSED]), number) as sound:
+                return before, fact.upsert_fact(self.fact, sound.select(*rows.columns), loaded_at, number)
         finally:
             files.delete(self.spark, path)
 
+    @contextmanager
+    def _staged(self, path: str, columns: T.StructType, number: int) -> Iterator[DataFrame]:
+        """The sound rows of a staged load, by bucket if there are several."""
+        if number == 1:
+            yield self.spark.read.schema(columns).parquet(path).filter("NOT refused")
+            return
+        sound = {"false": f"{path}/refused=false"} if files.exists(self.spark, f"{path}/refused=false") else {}
+        with buckets.opened(self.spark, columns, path, "refused", fact.KEY, number, sound) as rows:
+            yield rows
+
     def refresh_hourly_sales(self, changed: tuple[int, list[int]] | None = None) -> str:
         """Brings the hourly table up to date, as a whole unless ``changed`` is what ``load_fact`` returned.
 

@@ -335,3 +335,70 @@ def test_table_state_keeps_notes(spark, tmp_path):
     table.replace(minute, notes={"a": 1})
     table.append(minute)
     assert table.notes() == {"a": 1} and table.change() == 2 and table.read().count() == 2
+
+
+# Facts in buckets
+
+
+@pytest.fixture
+def bucketed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(fact, "buckets_for", lambda table, items: table.buckets() or 4)
+    warehouse = Warehouse(spark, str(tmp_path / "bucketed"))
+    warehouse.run(_sources(spark), AS_OF, loaded_at=datetime(2024, 6, 1))
+    return warehouse
+
+
+def test_facts_in_buckets_are_those_without(spark, warehouse, bucketed):
+    assert bucketed.fact.buckets() == 4 and warehouse.fact.buckets() == 1
+    assert _facts(bucketed) == _facts(warehouse) and _hourly(bucketed) == _hourly(warehouse)
+    for n, changed in enumerate(({"moved": [2, 9]}, {"moved": [2], "items_of": 45}, {"quoted": {"EUR": 0.5, "GBP": 0.5}}, {})):
+        for one in (warehouse, bucketed):
+            one.run(_sources(spark, **changed), AS_OF, loaded_at=datetime(2024, 6, 2 + n))
+        assert _facts(bucketed) == _facts(warehouse) and _hourly(bucketed) == _hourly(warehouse)
+        assert bucketed.fact.read().count() == len(_facts(bucketed))
+    assert bucketed.fact.buckets() == 4
+    bucketed.remove_old_versions()
+    assert _facts(bucketed) == _facts(warehouse)
+
+
+def test_stored_facts_are_rewritten_without_a_shuffle(spark, bucketed, monkeypatch):
+    plans = []
+    real = VersionedTable.replace
+
+    def seen(table, df, *rest, **named):
+        if table is bucketed.fact:
+            plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(table, df, *rest, **named)
+
+    monkeypatch.setattr(VersionedTable, "replace", seen)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        bucketed.run(_sources(spark, moved=[1, 5], items_of=45), AS_OF)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    (plan,) = plans
+    shuffled = [line for line in plan.splitlines() if "Exchange" in line]
+    assert shuffled and all("hashpartitioning(order_item_id" in line for line in shuffled)
+    # Only keys and numbers meet a shuffle; neither the stored facts nor the batch do.
+    for part in plan.split("Exchange")[1:]:
+        assert "Bucketed: true" not in part.split("FileScan")[0] and "Scan ExistingRDD" in part.split("FileScan")[0]
+    assert plan.count("Bucketed: true") == 2
+    months = {f.split("/")[-1] for f in bucketed.fact.folders()}
+    assert len(months) == 5
+
+
+def test_a_bucketed_load_with_broken_rows_is_refused(spark, bucketed):
+    before = bucketed.fact.folders()
+    good = _sources(spark)
+    orders = good.orders.withColumn("customer_id", F.when(F.col("order_id") != 3, F.col("customer_id")))
+    with pytest.raises(QualityError, match=r"customer_id is missing \(2 rows\)"):
+        bucketed.load_fact(type(good)(**{**vars(good), "orders": orders}), datetime(2024, 6, 3))
+    assert bucketed.fact.folders() == before and sorted(r["order_item_id"] for r in bucketed.refused.read().collect()) == [30, 31]
+
+
+def test_numbers_are_found_without_a_join(spark):
+    from saleswh.operators.numbering import dense_numbers
+
+    found, last = dense_numbers(spark.range(1000).select(F.col("id").alias("k")), "k", "sk", 5)
+    assert "Join" not in found._jdf.queryExecution().executedPlan().toString() and last == 1005
+    assert rows(found) == sorted([(n, n + 6) for n in range(1000)], key=repr)
