@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from saleswh.functions import keys, money
 from saleswh.operators.dedupe import first_row
-from saleswh.operators.files import stored
+from saleswh.operators.files import stored, write_once
 from saleswh.operators.key_index import KeyIndex
 from saleswh.operators.merge import merge_rows
 from saleswh.operators.numbering import dense_numbers
@@ -73,8 +73,14 @@ def fact_rows(items: DataFrame, orders: DataFrame, dim_fx_rate: DataFrame) -> Da
 
 
 def orphan_items(items: DataFrame, product_keys: DataFrame) -> DataFrame:
-    """Items whose product is not in the catalogue."""
-    return items.join(product_keys, "product_id", "left_anti")
+    """Items whose product is not in the catalogue.
+
+    The catalogue's keys are written once, which tells Spark how few they are. Else it
+    takes them to be as large as what they were drawn from, and deals all items by
+    product, to no more tasks than there are products.
+    """
+    known, _ = write_once(product_keys.distinct(), "product-keys")
+    return items.join(known, "product_id", "left_anti")
 
 
 def buckets_for(table: VersionedTable, items: DataFrame) -> int:

@@ -141,3 +141,15 @@ def test_calendar_filters_prune_months_at_run_time(star):
     assert {(row["year"], row["quarter"]): row["units"] for row in found.collect()} == {
         key: units for key, units in everything.items() if key[1] == 1
     }
+
+
+def test_items_are_not_dealt_by_product_to_find_orphans(spark):
+    """A few products drawn from a large source: items stay where they are, however many have one product."""
+    number = F.col("id")
+    items = spark.range(0, 90000, 1, 6).select(number.alias("order_item_id"), (number % 3).alias("product_id"))
+    nameless = spark.range(1).select(F.lit(-1).cast("long").alias("order_item_id"), F.lit(None).cast("long").alias("product_id"))
+    source = spark.range(0, 4_000_000, 1, 4).select(F.when(number % 2 == 0, 0).otherwise(2).cast("long").alias("product_id"))
+    found = fact.orphan_items(items.union(nameless), source)
+    plan = _plan(found)
+    assert "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+    assert sorted(row[0] for row in found.select("order_item_id").collect()) == [-1, *range(1, 90000, 3)]
