@@ -114,6 +114,8 @@ class Warehouse:
         Returns the change number of the fact before, and the days touched.
         """
         number = fact.buckets_for(self.fact, conform.order_items(sources.order_items))
+        if number == 1:
+            return self._load_fact(sources, loaded_at, number)
         with finer_shuffles(self.spark, SHUFFLES_PER_BUCKET * number):
             return self._load_fact(sources, loaded_at, number)
 

@@ -28,3 +28,13 @@ def test_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         shared_dir(_session("yarn"))
     assert shared_dir(_session("yarn", "hdfs:///c")) == "hdfs:///c"
+
+
+def test_finer_shuffles_are_put_back(spark):
+    from saleswh.session import finer_shuffles
+
+    names = ["spark.sql.adaptive.coalescePartitions.initialPartitionNum", "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = [spark.conf.get(name, None) for name in names]
+    with finer_shuffles(spark, 96):
+        assert spark.conf.get(names[0]) == "96" and spark.conf.get(names[1]) == f"{32 << 20}b"
+    assert [spark.conf.get(name, None) for name in names] == before
