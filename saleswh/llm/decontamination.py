@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleswh.llm.common import per_batch
+from saleswh.llm.common import in_slices, per_batch
 
 WORD = re.compile(r"[^\W_]+")
 BASE = 0x9E3779B97F4A7C15
@@ -229,7 +229,7 @@ def contaminated_pairs(
 
         def compare(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = _index(sent.value, seed)
-            for batch in batches:
+            for batch in in_slices(batches):
                 rows = [
                     (batch.column(0)[at].as_py(), *hit, hit[2] / hit[1])
                     for at, hits in index.contaminated(batch.column(1), share).items()
@@ -257,9 +257,9 @@ def without_contaminated(
 
         def drop(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = _index(sent.value, seed)
-            for batch in batches:
+            for batch in in_slices(batches):
                 found = index.contaminated(batch.column(at), share)
                 yield batch.filter(pa.array([i not in found for i in range(batch.num_rows)], pa.bool_()))
 
-        documents = documents.mapInArrow(drop, schema)
+        documents = per_batch(documents, drop, schema)
     return documents

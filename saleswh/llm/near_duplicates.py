@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from saleswh.llm.common import kept, key_table, per_batch, record_batch, rows_by_table
+from saleswh.llm.common import in_slices, kept, key_table, per_batch, record_batch, rows_by_table
 from saleswh.llm.components import connected_components
 from saleswh.operators.files import write_once
 
@@ -107,7 +107,7 @@ def sketches(documents: DataFrame) -> DataFrame:
 
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[bytes] = set()
-        for batch in batches:
+        for batch in in_slices(batches):
             words, edges = word_hashes(batch.column(4))
             ids, sizes, bytes_, keys = [], [], [], []
             for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from saleswh.llm.common import per_batch
+from saleswh.llm.common import in_slices, per_batch
 
 Span = tuple[int, int, str]
 
@@ -225,7 +225,7 @@ def redact_secrets(documents: DataFrame, mask: str = "[secret]") -> DataFrame:
     def redact(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = columns.index("text")
         size = columns.index("n_chars") if "n_chars" in columns else None
-        for batch in batches:
+        for batch in in_slices(batches):
             texts = batch.column(at)
             clean = []
             for text, suspect in zip(texts.to_pylist(), _suspects(texts), strict=True):
@@ -242,4 +242,4 @@ def redact_secrets(documents: DataFrame, mask: str = "[secret]") -> DataFrame:
                 arrays[size] = pa.array(new, arrays[size].type)
             yield pa.RecordBatch.from_arrays(arrays, schema=batch.schema)
 
-    return documents.mapInArrow(redact, schema)
+    return per_batch(documents, redact, schema)

@@ -5,10 +5,12 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from saleswh.llm import decontamination as dec
 from saleswh.llm import secrets
+from saleswh.llm.common import in_slices
 from tests.llm.fixtures import documents, odd_rows, words
 
 TEXTS = [
@@ -143,3 +145,12 @@ def test_names_of_every_scored_word_are_lexed(spark):
         literal = bool(secrets.literal_spans(texts[r.doc_id]))
         assert ("literal" in r.spans) == literal
     assert sum("literal" in r.spans for r in found) > 200
+
+
+def test_slices_of_a_batch_hold_its_texts():
+    texts = [None if i % 7 == 0 else f"é{i} password: ünsafe-{'x' * (i % 50)}-{i}" for i in range(2500)]
+    whole = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    parts = list(in_slices([whole]))
+    assert [p.num_rows for p in parts] == [1000, 1000, 500]
+    assert [x for p in parts for x in p.column(0).to_pylist()] == texts
+    assert [x for p in parts for x in secrets._suspects(p.column(0))] == secrets._suspects(whole.column(0))

@@ -39,6 +39,20 @@ def test_chunks_have_the_ids_of_whole_texts(path):
             assert encoder.count(pa.array(texts)).tolist() == [len(x) for x in found]
 
 
+def test_a_full_memory_keeps_what_was_met_again():
+    encoder = ChunkEncoder(BYTE, 100)
+    often = [f"often{i}" for i in range(20)]
+    most = 0
+    for turn in range(30):
+        text = " ".join(["x", *often, *(f"once{turn}n{i}" for i in range(30))])
+        ((ids, _),) = encoder.encode(pa.array([text]))
+        assert ids.tolist() == encoded(BYTE, [text])[0]
+        most = max(most, len(encoder.codes))
+        if turn > 1:
+            assert set(often) <= set(encoder.codes)
+    assert most <= 200
+
+
 def _rows():
     return odd_rows() + [(i, " ".join(words(i, 1 + i * 37 % 300))) for i in range(150)]
 
