@@ -32,6 +32,8 @@ SYMBOLS = 1 << 16
 BUCKET_BITS = 20
 #: A rule takes two numbers and a length, eight bytes; each use of it saves two.
 LEAST_USES = 5
+#: This job has its tasks to itself: more chunks remembered, larger blocks.
+KNOWN, BLOCK_BYTES = 1_200_000, 32_000_000
 MARK_EVERY = 4096
 
 
@@ -40,17 +42,21 @@ def _buckets(pairs: np.ndarray) -> np.ndarray:
     return (pairs * np.uint32(0x9E3779B1)) >> np.uint32(32 - BUCKET_BITS)
 
 
-def _frequent_pairs(pair: np.ndarray, bucket: np.ndarray, least: int, most: int) -> np.ndarray:
-    """Pairs seen ``least`` times or more, most frequent first.
+def _frequent_pairs(pair: np.ndarray, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs seen ``least`` times or more in order, and how often."""
+    ordered = np.sort(pair)
+    # Where a pair stands ``least`` times from, it is frequent.
+    seen = np.flatnonzero(ordered[least - 1 :] == ordered[: len(ordered) - least + 1]) if len(ordered) >= least else []
+    values = ordered[seen]
+    start = np.flatnonzero(np.append(True, values[1:] != values[:-1])[: len(values)])
+    return values[start], np.diff(start, append=len(values)) + least - 1
 
-    Pairs are counted by a hash bucket first; only those of full buckets are
-    counted exactly.
-    """
-    full = np.bincount(bucket, minlength=1 << BUCKET_BITS) >= least
-    found, count = np.unique(pair[full[bucket]], return_counts=True)
-    keep = count >= least
-    found, count = found[keep], count[keep]
-    return found[np.lexsort((found, -count))[:most]]
+
+def _table_of(pairs: np.ndarray) -> np.ndarray:
+    """A table of all hash buckets that tells those of the pairs."""
+    table = np.zeros(1 << BUCKET_BITS, bool)
+    table[_buckets(pairs)] = True
+    return table
 
 
 def _apart(pairs: np.ndarray) -> np.ndarray:
@@ -78,17 +84,21 @@ def compress(
     symbols = ids.astype(np.uint32)
     rules = [np.empty((0, 2), np.uint32)]
     made = first_symbol
-    while len(symbols) > 1 and made < SYMBOLS:
+    # Places whose pair may be frequent: without new symbols, a pair never becomes more frequent than it was.
+    live = np.arange(max(len(symbols) - 1, 0))
+    while len(live) and made < SYMBOLS:
         # Two 16-bit symbols in one number.
-        pair = (symbols[:-1] << np.uint32(16)) | symbols[1:]
+        pair = (symbols[live] << np.uint32(16)) | symbols[live + 1]
+        pairs, count = _frequent_pairs(pair, least)
         bucket = _buckets(pair)
-        pairs = np.sort(_apart(_frequent_pairs(pair, bucket, least, min(per_round, SYMBOLS - made))))
+        full = np.flatnonzero(_table_of(pairs)[bucket])
+        live, pair, bucket = live[full], pair[full], bucket[full]
+        most = np.lexsort((pairs, -count))[: min(per_round, SYMBOLS - made)]
+        pairs = np.sort(_apart(pairs[most]))
         if not len(pairs):
             break
-        wanted = np.zeros(1 << BUCKET_BITS, bool)
-        wanted[_buckets(pairs)] = True
-        at = np.flatnonzero(wanted[bucket])
-        here = pair[at]
+        some = np.flatnonzero(_table_of(pairs)[bucket])
+        at, here = live[some], pair[some]
         rule = np.minimum(np.searchsorted(pairs, here), len(pairs) - 1)
         hit = pairs[rule] == here
         at, rule = at[hit], rule[hit]
@@ -98,11 +108,16 @@ def compress(
             since = np.arange(len(at)) - np.maximum.accumulate(np.where(start, np.arange(len(at)), 0))
             even = since % 2 == 0
             at, rule = at[even], rule[even]
-        symbols = symbols.copy()
         symbols[at] = made + rule
         stay = np.ones(len(symbols), bool)
         stay[at + 1] = False
-        symbols = symbols[stay]
+        # The pairs of a new symbol with both of its neighbours are new.
+        may = np.zeros(len(symbols), bool)
+        may[live] = may[at] = True
+        symbols, may = symbols[stay], may[stay]
+        new = at - np.arange(len(at))
+        may[new[new > 0] - 1] = True
+        live = np.flatnonzero(may[:-1])
         rules.append(np.stack([pairs >> np.uint32(16), pairs & np.uint32(0xFFFF)], axis=1))
         made += len(pairs)
     return symbols, np.concatenate(rules)
@@ -118,15 +133,13 @@ def sizes_of(rules: np.ndarray, first_symbol: int) -> np.ndarray:
 
 def expansions(rules: np.ndarray, first_symbol: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Per symbol its ids in one flat array: where they start, how many, and the array."""
-    size = np.ones(first_symbol + len(rules), np.int64)
-    parts = [np.arange(first_symbol, dtype=np.uint32)]
-    text: list[np.ndarray] = []
-    for i, (a, b) in enumerate(rules.tolist()):
-        made = [text[x - first_symbol] if x >= first_symbol else parts[0][x : x + 1] for x in (a, b)]
-        text.append(np.concatenate(made))
-        size[first_symbol + i] = len(text[-1])
+    plain = np.arange(first_symbol, dtype="<u4").tobytes()
+    text = [plain[i : i + 4] for i in range(0, len(plain), 4)]
+    for a, b in rules.tolist():
+        text.append(text[a] + text[b])
+    size = np.fromiter(map(len, text), np.int64, len(text)) // 4
     start = np.concatenate(([0], np.cumsum(size)[:-1]))
-    return start, size, np.concatenate(parts + text)
+    return start, size, np.frombuffer(b"".join(text), "<u4")
 
 
 def expand(symbols: np.ndarray, rules: np.ndarray, first_symbol: int) -> np.ndarray:
@@ -224,7 +237,7 @@ def write_token_files(
 
         for batch in batches:
             at = 0
-            for found, edges in encoder(tokenizer).encode(batch.column(1), chunks=shard_ids // 4):
+            for found, edges in encoder(tokenizer, KNOWN).encode(batch.column(1), BLOCK_BYTES, chunks=shard_ids // 4):
                 n = len(edges) - 1
                 docs.append(batch.column(0).slice(at, n))
                 at += n

@@ -146,6 +146,22 @@ def test_pairs_are_replaced_until_none_pays():
         assert found.tolist() == ids[start:stop].tolist()
 
 
+def test_later_rounds_look_only_at_places_that_may_be_frequent(monkeypatch):
+    pick = np.random.default_rng(5)
+    ids = pick.integers(0, 40_000, 200_000).astype(np.uint32)
+    phrase = np.arange(45_000, 45_008, dtype=np.uint32)
+    for at in range(0, 199_000, 4000):
+        ids[at : at + 8] = phrase
+    looked, plain = [], token_files._frequent_pairs
+    monkeypatch.setattr(
+        token_files, "_frequent_pairs", lambda pair, *rest: looked.append(len(pair)) or plain(pair, *rest)
+    )
+    symbols, rules = token_files.compress(ids, 49408)
+    assert np.array_equal(token_files.expand(symbols.astype(np.int64), rules, 49408), ids)
+    assert len(symbols) == 200_000 - 50 * 7
+    assert looked[0] == 199_999 and max(looked[1:]) < 10_000
+
+
 def test_marks_shorten_the_way_to_a_document(monkeypatch):
     monkeypatch.setattr(token_files, "MARK_EVERY", 8)
     ids = np.random.default_rng(4).integers(0, 9, 500)
