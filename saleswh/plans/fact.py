@@ -229,6 +229,11 @@ def refresh_hourly(
     table.replace(_by_month(untouched.unionByName(hourly_sales(again, dim_date, dim_time))), months, notes=notes)
 
 
+def hourly_is_current(table: VersionedTable, fact: VersionedTable) -> bool:
+    """Whether the hourly table stands for the facts as they are now."""
+    return table.notes().get("fact_change") == fact.change()
+
+
 def _by_month(rows: DataFrame) -> DataFrame:
     """Months in few files each, and in several tasks where one would be too large."""
     return rows.hint("rebalance", FACT_PARTITION)

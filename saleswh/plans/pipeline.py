@@ -29,6 +29,10 @@ SHUFFLES_PER_BUCKET = 4
 REFUSED = T.StructField("refused", T.BooleanType())
 
 
+class StaleTableError(RuntimeError):
+    pass
+
+
 class Warehouse:
     """The tables below one root folder."""
 
@@ -55,6 +59,7 @@ class Warehouse:
         )
         self.refused = table("fact_refused", schema.FACT_REFUSED)
         self.hourly_sales = table("hourly_sales", schema.HOURLY_SALES, partition=schema.FACT_PARTITION)
+        self._refresh_error: Exception | None = None
         self.tables = [
             self.dim_date,
             self.dim_time,
@@ -160,14 +165,24 @@ class Warehouse:
     def refresh_hourly_sales(self, changed: tuple[int, list[int]] | None = None) -> str:
         """Brings the hourly table up to date, as a whole unless ``changed`` is what ``load_fact`` returned.
 
-        A failure is reported, not raised; the next refresh then does it all.
+        A failure is reported, not raised, and leaves the table behind the facts: ``current_hourly_sales``
+        refuses it until the next refresh, which then does it all.
         """
+        self._refresh_error = None
         try:
             fact.refresh_hourly(self.hourly_sales, self.fact, self.dim_date.read(), self.dim_time.read(), changed)
         except (PySparkException, Py4JJavaError) as error:
+            self._refresh_error = error
             return f"hourly sales not refreshed: {error}"
         return "hourly sales refreshed"
 
+    def current_hourly_sales(self) -> DataFrame:
+        """The hourly table, if it stands for the facts as they are now; raises if it does not, as after a failed refresh."""
+        if not fact.hourly_is_current(self.hourly_sales, self.fact):
+            cause = f": {self._refresh_error}" if self._refresh_error else ""
+            raise StaleTableError(f"hourly sales do not stand for the present facts{cause}") from self._refresh_error
+        return self.hourly_sales.read()
+
     def star(self) -> Star:
         return Star(
             fact=self.fact.read(),

@@ -373,7 +373,7 @@ def _enriched(star: Star) -> DataFrame:
 
 
 def _hourly_sales(spark: SparkSession, folder: str) -> DataFrame:
-    return _plain(_loaded(spark, folder, "events")[0].hourly_sales.read())
+    return _plain(_loaded(spark, folder, "events")[0].current_hourly_sales())
 
 
 # Loads onto a filled warehouse
@@ -396,7 +396,7 @@ def _fact_second_load(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _hourly_second_load(spark: SparkSession, folder: str) -> DataFrame:
-    return _plain(_loaded(spark, folder, "twice")[0].hourly_sales.read())
+    return _plain(_loaded(spark, folder, "twice")[0].current_hourly_sales())
 
 
 def _customer_second_load(spark: SparkSession, folder: str) -> DataFrame:

@@ -16,7 +16,7 @@ from saleswh.operators.key_index import KeyIndex
 from saleswh.operators.steps import run_steps
 from saleswh.operators.tables import VersionedTable
 from saleswh.plans import fact, metrics, sql
-from saleswh.plans.pipeline import Warehouse
+from saleswh.plans.pipeline import StaleTableError, Warehouse
 from saleswh.plans.quality import QualityError
 from tests import builders as b
 from tests.conftest import rows
@@ -156,6 +156,32 @@ def test_a_refresh_that_failed_is_made_up_for(spark, warehouse, monkeypatch):
     assert _hourly(warehouse) == _rebuilt(warehouse)
 
 
+def test_hours_behind_the_facts_are_no_result(spark, warehouse, monkeypatch):
+    from pyspark.errors import PySparkException
+
+    from saleswh.queries import registry
+
+    held = {(spark.sparkContext.applicationId, "here", kind): (warehouse, warehouse.star()) for kind in ("twice", "events")}
+    monkeypatch.setattr(registry, "_warehouses", held)
+    queries = [registry.QUERIES[name] for name in ("hourly_second_load", "hourly_sales")]
+    for query in queries:
+        assert query(spark, "here").count() == warehouse.hourly_sales.read().count()
+
+    def fails(*_, **__):
+        raise PySparkException("no room")
+
+    with monkeypatch.context() as patched:
+        patched.setattr(fact, "refresh_hourly", fails)
+        warehouse.run(_sources(spark, moved=[1]), AS_OF)
+    for query in queries:
+        with pytest.raises(StaleTableError, match="no room"):
+            query(spark, "here")
+    with pytest.raises(StaleTableError):
+        Warehouse(spark, warehouse.root).current_hourly_sales()
+    warehouse.run(_sources(spark, moved=[1]), AS_OF)
+    assert rows(warehouse.current_hourly_sales()) == _rebuilt(warehouse)
+
+
 def test_old_versions_go_and_the_rest_still_loads(spark, warehouse, tmp_path):
     warehouse.run(_sources(spark, moved=[1]), AS_OF)
     before = _facts(warehouse)
