@@ -100,6 +100,29 @@ def test_plans_place_every_document_once():
                 assert at == n
 
 
+def test_configurations_are_used_where_best_fit_wastes_room():
+    """A half, a quarter and a rest fill a sequence, but best fit puts two halves' company apart."""
+    sizes = [(1048, 180), (560, 180), (536, 180), (464, 360)]
+    counts = {size - k: n // 4 for size, n in sizes for k in range(4)}
+    # With few lengths nothing is rounded; with groups of about a hundred documents all are.
+    for groups, most in ((24, 275), (9, 285)):
+        assert sum(n for n, _ in packing.plan_packing(counts, 2048, groups=groups)) <= most
+    pick = np.random.default_rng(6)
+    many = dict(zip(*(x.tolist() for x in np.unique(pick.integers(400, 900, 9000), return_counts=True)), strict=True))
+    for given in (counts, many):
+        shortest = sum(n for n, _ in packing.plan_packing(given, 2048))
+        assert shortest <= min(sum(n for n, _ in packing.plan_packing(given, 2048, slack=s)) for s in (64, 2048))
+        assert shortest < 1.025 * sum(x * n for x, n in given.items()) / 2048
+        placed = {}
+        for run, slots in packing.plan_packing(given, 2048):
+            assert sum(length for length, _ in slots) <= 2048
+            for length, first in slots:
+                placed.setdefault(length, []).append((first, run))
+        for length, n in given.items():
+            ends = [first + run for first, run in sorted(placed[length])]
+            assert [first for first, _ in sorted(placed[length])] == [0, *ends[:-1]] and ends[-1] == n
+
+
 def test_token_files_give_back_what_was_written(spark, tmp_path):
     rows = _rows()
     docs = documents(spark, rows)
