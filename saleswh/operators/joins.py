@@ -9,11 +9,31 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Bytes that a row takes in a broadcast table beside its columns.
+ROW_BYTES = 32
+
+
 def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Spark's own size estimate is within its broadcast limit."""
+    """Whether Spark's own size estimate and the rows themselves are within its broadcast limit.
+
+    Spark estimates by the size of files, where keys that follow one another take a
+    byte or two: files of some megabytes may be a broadcast table of hundreds, which
+    the driver builds. So rows that pass by the estimate are counted.
+    """
     estimate = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    return 0 <= estimate <= limit
+    if not 0 <= estimate <= limit:
+        return False
+    return df.count() * (ROW_BYTES + df._jdf.schema().defaultSize()) <= limit
+
+
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` as a side of a join that Spark must not broadcast, whatever it estimates."""
+    return df.hint("merge")
+
+
+def sums_of(facts: DataFrame, sums: Sequence[str]) -> list[Column]:
+    return [_sum(facts, name) for name in sums]
 
 
 def _sum(facts: DataFrame, name: str) -> Column:
@@ -41,8 +61,8 @@ def sum_with_dimension(
     meets sums instead of facts. ``dimension`` has one row per key, so both
     ways give the same exact sums, and sums have one type whichever way is taken.
     """
-    totals = [_sum(facts, name) for name in sums]
+    totals = sums_of(facts, sums)
     if not fits_broadcast(dimension):
         own = [name for name in by if name in facts.columns and name != key]
-        facts = facts.groupBy(key, *own).agg(*totals)
+        facts, dimension = facts.groupBy(key, *own).agg(*totals), shuffled(dimension)
     return facts.join(dimension, key, how).groupBy(*by).agg(*totals)

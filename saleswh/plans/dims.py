@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from saleswh.operators.dedupe import last_row
 from saleswh.operators.files import stored
+from saleswh.operators.joins import shuffled
 from saleswh.operators.merge import insert_if_absent, merge_rows
 from saleswh.operators.numbering import dense_numbers
 from saleswh.operators.tables import VersionedTable
@@ -47,7 +48,8 @@ def upsert_dimension(table: VersionedTable, rows: DataFrame, key: str) -> None:
         return
     new = changed.filter(F.col(table.surrogate).isNull())
     numbers, highest = dense_numbers(new, key, table.surrogate, table.highest())
-    updates = changed.drop(table.surrogate).join(numbers, key, "left")
+    # As many numbers as new rows: Spark would take them to be as small as the files of the source.
+    updates = changed.drop(table.surrogate).join(shuffled(numbers), key, "left")
     current = table.read(stored=True).filter(F.col(table.partition).isin(touched))
     merged = merge_rows(current, updates, [key], kept=[table.surrogate])
     table.replace(merged.hint("rebalance", table.partition), touched, highest, {"buckets": buckets})

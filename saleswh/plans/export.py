@@ -46,10 +46,11 @@ def export_reports(star: Star, path: str, start: str = DEFAULT_START, end: str =
     aside = f"{target}.next-{uuid.uuid4().hex}"
     written = []
     try:
-        for report in reports(star, start, end):
-            if report.write_empty or not report.data.isEmpty():
-                report.data.write.option("header", True).csv(f"{aside}/{report.name}")
-                written.append(report.name)
+        with metrics.joined_once(star, start, end) as shared:
+            for report in reports(shared, start, end):
+                if report.write_empty or not report.data.isEmpty():
+                    report.data.write.option("header", True).csv(f"{aside}/{report.name}")
+                    written.append(report.name)
         files.swap_in(spark, aside, target)
     except BaseException:
         files.delete(spark, aside)

@@ -7,21 +7,27 @@ with the group key as a tie-break, so they are stable.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from saleswh.functions import keys, labels
 from saleswh.functions.money import is_fx_fallback, is_iso
-from saleswh.operators.files import stored
-from saleswh.operators.joins import fits_broadcast, sum_with_dimension
+from saleswh.operators.files import delete, stored, write_once
+from saleswh.operators.joins import fits_broadcast, shuffled, sum_with_dimension, sums_of
 from saleswh.operators.series import pivot_sum, running_total, trailing_mean
 from saleswh.plans.star import DEFAULT_END, DEFAULT_START, Star
 from saleswh.plans.views import sales_base
 from saleswh.schema import FACT_PARTITION
 
 
+# What reports read of a sale.
+_REPORTED = ["order_id", "customer_id", "date_key", "time_key", "currency", "quantity", "line_amount_usd"]
+
+
 def _largest(measure: str, *tie_break: str) -> list[Column]:
     return [F.desc_nulls_first(measure), *(F.asc_nulls_last(name) for name in tie_break)]
 
@@ -42,8 +48,35 @@ def _product_names(star: Star) -> DataFrame:
     )
 
 
+@contextmanager
+def joined_once(star: Star, start: str, end: str) -> Iterator[Star]:
+    """A star for several reports of one window, to be used within the block only.
+
+    A catalogue too large to be broadcast would meet the sums of each report in a
+    shuffle of its own. Here it meets the window's sales in real currencies once; what
+    comes of it is written to the shared folder and takes the place of the facts.
+    """
+    names = _product_names(star)
+    if fits_broadcast(names):
+        yield star
+        return
+    sales = keys.in_window(star.fact, start, end).filter(is_iso(F.col("currency")))
+    known = sales.join(shuffled(names), "product_id").select(*_REPORTED, *names.columns[1:])
+    joined, path = write_once(known, "joined-sales")
+    try:
+        yield replace(star, fact=joined)
+    finally:
+        delete(star.fact.sparkSession, path)
+
+
+def _is_joined(sales: DataFrame) -> bool:
+    return "product_name" in sales.columns
+
+
 def _by_product(sales: DataFrame, star: Star, *by: str) -> DataFrame:
     """Units and revenue of known products."""
+    if _is_joined(sales):
+        return sales.groupBy(*by).agg(*sums_of(sales, ["units", "revenue"]))
     return sum_with_dimension(sales, _product_names(star), "product_id", by, ["units", "revenue"])
 
 
@@ -230,12 +263,14 @@ def _by_customer(star: Star, start: str, end: str, *by: str) -> DataFrame:
     """
     name = F.coalesce(labels.or_unknown(F.col("full_name")), F.lit("Unknown")).alias("named")
     people = star.dim_customer.select("customer_id", name, F.col("country").alias("raw_country"))
-    known = star.dim_product.select("product_id")
     sales = _iso_sales(star, start, end)
-    if not fits_broadcast(known):
-        own = [column for column in by if column in sales.columns]
-        sales = sales.groupBy("product_id", "customer_id", *own).agg(F.sum("revenue").alias("revenue"))
-    sales = sales.join(known, "product_id", "left_semi")
+    if not _is_joined(sales):
+        known = star.dim_product.select("product_id")
+        if not fits_broadcast(known):
+            own = [column for column in by if column in sales.columns]
+            sales = sales.groupBy("product_id", "customer_id", *own).agg(F.sum("revenue").alias("revenue"))
+            known = shuffled(known)
+        sales = sales.join(known, "product_id", "left_semi")
     totals = sum_with_dimension(sales, people, "customer_id", by, ["revenue"], how="left")
     return totals.withColumn("revenue", F.col("revenue").cast("decimal(28,4)"))
 

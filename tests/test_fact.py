@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from saleswh.operators.dedupe import first_row, last_row
 from saleswh.operators.joins import fits_broadcast, sum_with_dimension
+from saleswh.operators.tables import VersionedTable
 from saleswh.plans import dims, fact
+from saleswh.plans.pipeline import Warehouse
 from tests import builders as b
 from tests.conftest import rows
 
@@ -135,3 +137,38 @@ def test_sums_are_the_same_whichever_side_is_reduced_first(spark):
     assert results[0] == results[1]
     total = sum(row["amount"] for row in sales.collect())
     assert results[0][7][1] == [(total,)] and results[0][6][1][0][0] < total
+
+
+def test_small_files_with_many_rows_are_not_broadcast(spark, tmp_path):
+    """Keys that follow one another take a byte or two in files and some forty in a broadcast table."""
+    spark.range(0, 400_000, 1, 4).selectExpr("id AS k", "concat('c', id % 3) AS c").write.option(
+        "compression", "zstd"
+    ).parquet(str(tmp_path / "d"))
+    dimension = spark.read.parquet(str(tmp_path / "d"))
+    assert int(str(dimension._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) < 10 << 20
+    assert not fits_broadcast(dimension.select("k")) and fits_broadcast(dimension.filter("k < 1000"))
+    sales = spark.range(0, 900_000, 1, 4).selectExpr("id % 450000 AS k", "CAST(1 AS DECIMAL(18,4)) AS amount")
+    found = sum_with_dimension(sales, dimension, "k", ["c"], ["amount"])
+    assert sorted((row["c"], int(row["amount"])) for row in found.collect()) == [("c0", 266668), ("c1", 266666), ("c2", 266666)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "BroadcastExchange" not in plan
+
+
+def test_numbers_of_a_dimension_are_not_broadcast(spark, tmp_path, monkeypatch):
+    plans = []
+    real = VersionedTable.replace
+
+    def seen(table, df, *rest, **named):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return real(table, df, *rest, **named)
+
+    monkeypatch.setattr(VersionedTable, "replace", seen)
+    spark.range(0, 50_000, 1, 2).selectExpr("id", "concat('n', id % 9) AS name", "'x' AS category").write.parquet(
+        str(tmp_path / "p")
+    )
+    table = Warehouse(spark, str(tmp_path / "w")).dim_product
+    table.create_if_absent()
+    dims.upsert_dimension(table, dims.product_rows(spark.read.parquet(str(tmp_path / "p"))), "product_id")
+    (plan,) = plans
+    assert "BroadcastExchange" not in plan
+    assert table.highest() == table.read().select("product_sk").distinct().count() == 50_000

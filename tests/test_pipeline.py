@@ -4,6 +4,7 @@ from datetime import date, datetime
 
 import pytest
 
+from saleswh.operators import files
 from saleswh.plans import export, metrics
 from saleswh.plans.pipeline import Warehouse
 from saleswh.plans.quality import QualityError
@@ -97,6 +98,24 @@ def test_export(spark, tmp_path):
     assert _lines(out, "top_customers") == ["customer_name,country,orders,revenue"]
 
 
+def test_export_with_a_large_catalogue_joins_it_once(spark, tmp_path, monkeypatch):
+    warehouse = Warehouse(spark, str(tmp_path / "wh"))
+    warehouse.run(_sources(spark), AS_OF)
+    star = warehouse.star()
+    names = export.export_reports(star, str(tmp_path / "small"), *YEAR)
+    written, given = [], []
+    real, plain = metrics.write_once, export.reports
+    monkeypatch.setattr(metrics, "write_once", lambda df, name: written.append(real(df, name)) or written[-1])
+    monkeypatch.setattr(export, "reports", lambda shared, *window: given.append(shared) or plain(shared, *window))
+    # Spark's estimate of the two products is far below, their rows are not.
+    monkeypatch.setattr("saleswh.operators.joins.ROW_BYTES", 10 << 20)
+    assert export.export_reports(star, str(tmp_path / "large"), *YEAR) == names
+    for name in names:
+        assert _lines(tmp_path / "large", name) == _lines(tmp_path / "small", name)
+    ((joined, path),) = written
+    assert given == [given[0]] and given[0].fact is joined and not files.exists(spark, path)
+
+
 def _lines(out, name):
     parts = sorted((out / name).glob("part-*.csv"))
     return list(dict.fromkeys(line for part in parts for line in part.read_text().splitlines()))
